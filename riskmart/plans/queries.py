@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 
 from riskmart.operators import scoring as sc
@@ -59,3 +61,203 @@ def rule_lift(spark, sf_dir):
 @query("pipeline_row_counts")
 def pipeline_row_counts(spark, sf_dir):
     return layer_row_counts(layers_for(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# Quality report
+# ---------------------------------------------------------------------------
+from riskmart.operators import quality as qa  # noqa: E402
+from riskmart.schema import IDENTITY_NULL_REPORT, TRANSACTION_NULL_REPORT  # noqa: E402
+
+
+@query("split_row_counts")
+def split_row_counts(spark, sf_dir):
+    L = layers_for(spark, sf_dir)
+    return qa.split_row_counts({"stg_transactions": L.stg_transactions,
+                                "stg_identity": L.stg_identity})
+
+
+@query("null_rates_transactions")
+def null_rates_transactions(spark, sf_dir):
+    return qa.null_counts(layers_for(spark, sf_dir).stg_transactions, TRANSACTION_NULL_REPORT)
+
+
+@query("null_rates_identity")
+def null_rates_identity(spark, sf_dir):
+    return qa.null_counts(layers_for(spark, sf_dir).stg_identity, IDENTITY_NULL_REPORT)
+
+
+@query("identity_coverage")
+def identity_coverage(spark, sf_dir):
+    L = layers_for(spark, sf_dir)
+    return qa.identity_coverage(L.stg_transactions, L.stg_identity)
+
+
+@query("train_fraud_rate")
+def train_fraud_rate(spark, sf_dir):
+    return qa.train_fraud_rate(layers_for(spark, sf_dir).stg_transactions)
+
+
+@query("type_check")
+def type_check(spark, sf_dir):
+    return qa.type_check(layers_for(spark, sf_dir).stg_transactions)
+
+
+# ---------------------------------------------------------------------------
+# Investigation and case notes (a batch of the top 20, as the source's showcase run)
+# ---------------------------------------------------------------------------
+from riskmart.operators import casenotes as cn  # noqa: E402
+from riskmart.operators import investigate as inv  # noqa: E402
+from riskmart.plans.fixtures import answers_for  # noqa: E402
+
+BATCH_SIZE = 20
+HISTORY_ROWS = 10
+_ANSWER_LOCK = threading.Lock()
+
+
+def _candidates(spark, sf_dir):
+    L = layers_for(spark, sf_dir)
+    return inv.candidates(L.scoring, L.enriched, BATCH_SIZE)
+
+
+def _answers(spark, sf_dir, shift: int = 0):
+    """The review answers of a run, written once as a table (answers arrive as files)."""
+    store = layers_for(spark, sf_dir).store
+    name = f"review_answers_{shift}"
+    with _ANSWER_LOCK:
+        if not store.exists(name):
+            store.write(name, answers_for(_candidates(spark, sf_dir), shift))
+    return store.read(name)
+
+
+def _results(spark, sf_dir, shift: int = 0):
+    cands = _candidates(spark, sf_dir)
+    parsed = cn.parse_responses(_answers(spark, sf_dir, shift))
+    return cands, cn.first_valid(parsed, cands.select("transaction_id"))
+
+
+def _notes(spark, sf_dir):
+    _, results = _results(spark, sf_dir)
+    return cn.upsert_case_notes(cn.empty_notes(spark), cn.notes_from_results(results))
+
+
+@query("investigation_candidates")
+def investigation_candidates(spark, sf_dir):
+    return _candidates(spark, sf_dir)
+
+
+@query("customer_context")
+def customer_context(spark, sf_dir):
+    L = layers_for(spark, sf_dir)
+    return inv.card_statistics(_candidates(spark, sf_dir), L.enriched)
+
+
+@query("recent_transactions")
+def recent_transactions(spark, sf_dir):
+    L = layers_for(spark, sf_dir)
+    return inv.recent_history(_candidates(spark, sf_dir), L.enriched, HISTORY_ROWS)
+
+
+@query("investigation_prompts")
+def investigation_prompts(spark, sf_dir):
+    L = layers_for(spark, sf_dir)
+    cands = _candidates(spark, sf_dir)
+    return inv.prompts(cands, inv.card_statistics(cands, L.enriched),
+                       inv.recent_history(cands, L.enriched, HISTORY_ROWS))
+
+
+@query("case_note_parse")
+def case_note_parse(spark, sf_dir):
+    return cn.parse_responses(_answers(spark, sf_dir))
+
+
+@query("case_note_first_valid")
+def case_note_first_valid(spark, sf_dir):
+    return _results(spark, sf_dir)[1]
+
+
+@query("case_notes_upsert")
+def case_notes_upsert(spark, sf_dir):
+    """A second review run (other answer shapes) upserted over the first run's notes."""
+    first = _notes(spark, sf_dir)
+    _, rerun = _results(spark, sf_dir, shift=3)
+    merged = cn.upsert_case_notes(first, cn.notes_from_results(rerun))
+    return merged.drop("created_at")
+
+
+@query("batch_summary")
+def batch_summary(spark, sf_dir):
+    cands, results = _results(spark, sf_dir)
+    return cn.batch_summary(cands, results)
+
+
+@query("assessment_counts")
+def assessment_counts(spark, sf_dir):
+    return cn.label_counts(_results(spark, sf_dir)[1], "risk_assessment")
+
+
+@query("action_counts")
+def action_counts(spark, sf_dir):
+    return cn.label_counts(_results(spark, sf_dir)[1], "recommended_action")
+
+
+# ---------------------------------------------------------------------------
+# Dashboard
+# ---------------------------------------------------------------------------
+from riskmart.operators import reporting as rp  # noqa: E402
+
+
+def _base(spark, sf_dir):
+    L = layers_for(spark, sf_dir)
+    return rp.report_base(L.fact, _notes(spark, sf_dir), L.scoring)
+
+
+@query("reporting_join")
+def reporting_join(spark, sf_dir):
+    return _base(spark, sf_dir).drop("created_at")
+
+
+@query("kpi_overview")
+def kpi_overview(spark, sf_dir):
+    return rp.kpis(_base(spark, sf_dir))
+
+
+@query("fraud_rate_by_hour")
+def fraud_rate_by_hour(spark, sf_dir):
+    return rp.fraud_rate_by_hour(_base(spark, sf_dir))
+
+
+@query("fraud_rate_by_card_network")
+def fraud_rate_by_card_network(spark, sf_dir):
+    return rp.fraud_rate_by_card_network(_base(spark, sf_dir))
+
+
+@query("fraud_rate_by_product")
+def fraud_rate_by_product(spark, sf_dir):
+    return rp.fraud_rate_by_product(_base(spark, sf_dir))
+
+
+@query("fraud_rate_by_score_band")
+def fraud_rate_by_score_band(spark, sf_dir):
+    return rp.fraud_rate_by_score_band(_base(spark, sf_dir))
+
+
+@query("scoring_performance")
+def scoring_performance(spark, sf_dir):
+    return rp.scoring_performance(_base(spark, sf_dir))
+
+
+@query("investigation_queue")
+def investigation_queue(spark, sf_dir):
+    return rp.investigation_queue(_base(spark, sf_dir), min_score=50)
+
+
+@query("transaction_deep_dive")
+def transaction_deep_dive(spark, sf_dir):
+    """Deep dive of every reviewed transaction (the ids that have a case note)."""
+    notes = _notes(spark, sf_dir).select(F.col("transaction_id").try_cast("bigint")
+                                         .alias("transaction_id"))
+    return rp.deep_dive(_base(spark, sf_dir), notes)
+
+
+from pyspark.sql import functions as F  # noqa: E402
