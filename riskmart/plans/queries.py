@@ -112,7 +112,7 @@ from riskmart.plans.fixtures import answers_for  # noqa: E402
 
 BATCH_SIZE = 20
 HISTORY_ROWS = 10
-_ANSWER_LOCK = threading.Lock()
+_ANSWER_LOCK = threading.RLock()
 
 
 def _candidates(spark, sf_dir):
@@ -137,8 +137,14 @@ def _results(spark, sf_dir, shift: int = 0):
 
 
 def _notes(spark, sf_dir):
-    _, results = _results(spark, sf_dir)
-    return cn.upsert_case_notes(cn.empty_notes(spark), cn.notes_from_results(results))
+    """The case-note table after the first review run (written once, like the source's table)."""
+    store = layers_for(spark, sf_dir).store
+    with _ANSWER_LOCK:
+        if not store.exists("case_notes"):
+            _, results = _results(spark, sf_dir)
+            store.write("case_notes",
+                        cn.upsert_case_notes(cn.empty_notes(spark), cn.notes_from_results(results)))
+    return store.read("case_notes", cn.NOTE_COLUMNS)
 
 
 @query("investigation_candidates")
