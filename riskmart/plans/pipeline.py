@@ -107,3 +107,55 @@ def layer_row_counts(layers: Layers) -> DataFrame:
 
 def open_layers(spark: SparkSession, root: str) -> Layers:
     return Layers(LayerStore(spark, root))
+
+
+# ---------------------------------------------------------------------------
+# Raw CSV input and dashboard CSV output
+# ---------------------------------------------------------------------------
+from riskmart.operators.staging import stage_identity, stage_transactions  # noqa: E402
+from riskmart.schema import CASE_NOTE_TYPES, FACT_COLUMNS, ddl  # noqa: E402
+from riskmart.session import join_path  # noqa: E402
+from riskmart.sources.csv import export_csv, import_csv, read_raw_csv  # noqa: E402
+
+# Raw file names of the four inputs.
+RAW_FILES = {
+    "train_transaction": "train_transaction.csv",
+    "test_transaction": "test_transaction.csv",
+    "train_identity": "train_identity.csv",
+    "test_identity": "test_identity.csv",
+}
+
+
+def staged_from_csv(spark: SparkSession, raw_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Staged transaction and identity tables from the four raw CSV files."""
+    def raw(key):
+        return read_raw_csv(spark, join_path(raw_dir, RAW_FILES[key]))
+    txn = stage_transactions(raw("train_transaction"), raw("test_transaction"))
+    ident = stage_identity(raw("train_identity"), raw("test_identity"))
+    return txn, ident
+
+
+def export_dashboard(layers: Layers, notes: DataFrame, out_dir: str) -> dict[str, str]:
+    """Write the mart, the scoring table and the case notes as CSV for the dashboard."""
+    paths = {}
+    for name, df in (("fct_fraud_analysis", layers.fact.select(*FACT_COLUMNS)),
+                     ("rule_based_scoring", layers.scoring),
+                     ("case_notes", notes)):
+        paths[name] = join_path(out_dir, name)
+        export_csv(df, paths[name])
+    return paths
+
+
+def dashboard_schemas(layers: Layers) -> dict:
+    """Declared schemas of the exported files (the written layers' own types)."""
+    return {
+        "fct_fraud_analysis": layers.fact.select(*FACT_COLUMNS).schema,
+        "rule_based_scoring": layers.scoring.schema,
+        "case_notes": ddl(CASE_NOTE_TYPES),
+    }
+
+
+def read_dashboard(spark: SparkSession, paths: dict[str, str], schemas: dict
+                   ) -> dict[str, DataFrame]:
+    """The dashboard's three text sources with their declared types."""
+    return {name: import_csv(spark, path, schemas[name]) for name, path in paths.items()}

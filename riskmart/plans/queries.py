@@ -267,3 +267,18 @@ def transaction_deep_dive(spark, sf_dir):
 
 
 from pyspark.sql import functions as F  # noqa: E402
+
+
+# ---------------------------------------------------------------------------
+# Dashboard export: case notes through CSV and back
+# ---------------------------------------------------------------------------
+from riskmart.sources.csv import CASE_NOTE_SCHEMA, export_csv, import_csv  # noqa: E402
+
+
+@query("csv_round_trip")
+def csv_round_trip(spark, sf_dir):
+    """Case notes (multi-line, quoted answer text) written as CSV and read back typed."""
+    store = layers_for(spark, sf_dir).store
+    path = store.path("exports/case_notes_csv")
+    export_csv(_notes(spark, sf_dir), path)
+    return import_csv(spark, path, CASE_NOTE_SCHEMA).drop("created_at")

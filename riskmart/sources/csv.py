@@ -33,7 +33,7 @@ def export_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).options(**EXPORT_OPTIONS).csv(path)
 
 
-def import_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def import_csv(spark: SparkSession, path: str, schema) -> DataFrame:
     """Read an exported CSV back with its declared schema."""
     return spark.read.options(**IMPORT_OPTIONS).schema(schema).csv(path)
 
