@@ -48,3 +48,13 @@ def review_outcome(candidates: DataFrame, answers: DataFrame, existing_notes: Da
     results = cn.first_valid(attempts, candidates.select("transaction_id"), max_retries)
     notes = cn.upsert_case_notes(existing_notes, cn.notes_from_results(results))
     return ReviewOutcome(attempts, results, notes, cn.batch_summary(candidates, results))
+
+
+def write_report_base(store, fact: DataFrame, notes: DataFrame, scored: DataFrame) -> DataFrame:
+    """Write the dashboard's joined extract (fact + notes + scoring) once.
+
+    All worksheets aggregate this one table, so the large fact-scoring join
+    runs once per refresh instead of once per worksheet.
+    """
+    from riskmart.operators.reporting import report_base
+    return store.write("report_base", report_base(fact, notes, scored))

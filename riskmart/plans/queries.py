@@ -211,11 +211,16 @@ def action_counts(spark, sf_dir):
 # Dashboard
 # ---------------------------------------------------------------------------
 from riskmart.operators import reporting as rp  # noqa: E402
+from riskmart.plans.batch import write_report_base  # noqa: E402
 
 
 def _base(spark, sf_dir):
+    """The dashboard extract: one big join written once, then scanned by every worksheet."""
     L = layers_for(spark, sf_dir)
-    return rp.report_base(L.fact, _notes(spark, sf_dir), L.scoring)
+    with _ANSWER_LOCK:
+        if not L.store.exists("report_base"):
+            write_report_base(L.store, L.fact, _notes(spark, sf_dir), L.scoring)
+    return L.store.read("report_base")
 
 
 @query("reporting_join")
