@@ -1,0 +1,3 @@
+"""Structured Streaming: case notes written as review answers arrive."""
+
+from riskmart.streaming.casenotes import NoteTable, start_case_note_stream  # noqa: F401

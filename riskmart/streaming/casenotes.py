@@ -1,0 +1,82 @@
+"""Answer stream -> case-note table, one upsert per micro-batch.
+
+The source pipeline writes each case note as soon as its answer is in.  Here
+answers arrive as files ``(transaction_id, attempt, raw_response)`` in a
+folder; every micro-batch is parsed and validated (a projection), reduced to
+the lowest valid attempt per transaction (a partial aggregate) and upserted
+into the case-note table.
+
+Parquet has no MERGE, so the table is versioned: each micro-batch writes the
+merged table to ``<root>/v=<batch_id>`` and readers take the highest version
+that committed.  A micro-batch that is replayed after a failure rewrites the
+same version from the same predecessor, so the sink is idempotent.
+"""
+
+from __future__ import annotations
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from riskmart.operators import casenotes as cn
+from riskmart.session import join_path
+
+ANSWER_SCHEMA = "transaction_id bigint, attempt int, raw_response string"
+
+
+class NoteTable:
+    """A versioned case-note table under ``root``."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.root = root.rstrip("/")
+
+    def _versions(self) -> list[int]:
+        try:
+            df = self.spark.read.parquet(self.root)
+        except AnalysisException:
+            return []
+        if "v" not in df.columns:
+            return []
+        # Only versions whose write committed (their folder holds _SUCCESS).
+        return [v for v in sorted(r[0] for r in df.select("v").distinct().collect())
+                if self._committed(v)]
+
+    def _committed(self, version: int) -> bool:
+        try:
+            self.spark.read.text(join_path(self.root, f"v={version}", "_SUCCESS")).schema
+            return True
+        except AnalysisException:
+            return False
+
+    def latest(self, before: int | None = None) -> DataFrame:
+        versions = [v for v in self._versions() if before is None or v < before]
+        if not versions:
+            return cn.empty_notes(self.spark)
+        return self.spark.read.parquet(join_path(self.root, f"v={versions[-1]}"))
+
+    def write_version(self, version: int, df: DataFrame) -> None:
+        df.write.mode("overwrite").parquet(join_path(self.root, f"v={version}"))
+
+
+def upsert_batch(table: NoteTable, answers: DataFrame, batch_id: int,
+                 max_retries: int = 2) -> None:
+    """One micro-batch: parse, first valid attempt per transaction, upsert, new version."""
+    results = cn.first_valid(cn.parse_responses(answers), max_retries=max_retries)
+    merged = cn.upsert_case_notes(table.latest(before=batch_id), cn.notes_from_results(results))
+    table.write_version(batch_id, merged)
+
+
+def start_case_note_stream(spark: SparkSession, answers_dir: str, notes_root: str,
+                           checkpoint_dir: str, fmt: str = "parquet", available_now: bool = False,
+                           max_retries: int = 2):
+    """Start the stream; returns the ``StreamingQuery``."""
+    table = NoteTable(spark, notes_root)
+    stream = (spark.readStream.format(fmt).schema(ANSWER_SCHEMA)
+              .option("recursiveFileLookup", "true").load(answers_dir)
+              .select("transaction_id", F.col("attempt").cast("int"), "raw_response"))
+    writer = (stream.writeStream
+              .foreachBatch(lambda df, batch_id: upsert_batch(table, df, batch_id, max_retries))
+              .option("checkpointLocation", checkpoint_dir))
+    writer = writer.trigger(availableNow=True) if available_now else writer
+    return writer.start()

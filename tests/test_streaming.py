@@ -1,0 +1,35 @@
+"""Answers arriving in two drops of files become case notes, upserted per micro-batch."""
+
+import json
+import os
+
+from riskmart.streaming import NoteTable, start_case_note_stream
+
+J = {"risk_assessment": "high", "likely_pattern": "card_testing", "confidence": 0.8,
+     "reasoning": "r", "recommended_action": "decline", "case_note": "n"}
+
+
+def _drop(spark, folder, name, rows):
+    df = spark.createDataFrame(rows, "transaction_id bigint, attempt int, raw_response string")
+    df.coalesce(1).write.mode("overwrite").parquet(os.path.join(folder, name))
+
+
+def test_stream_upserts_notes(spark, tmp_dir):
+    answers = os.path.join(tmp_dir, "answers")
+    os.makedirs(answers)
+    notes_root = os.path.join(tmp_dir, "notes")
+    ckpt = os.path.join(tmp_dir, "ckpt")
+    low = dict(J, risk_assessment="low")
+    _drop(spark, answers, "drop1", [(1, 1, "junk"), (1, 2, json.dumps(J)), (2, 1, "junk")])
+    q = start_case_note_stream(spark, answers, notes_root, ckpt, available_now=True)
+    q.awaitTermination(120)
+    first = {r["transaction_id"]: r for r in NoteTable(spark, notes_root).latest().collect()}
+    assert set(first) == {"1"} and first["1"]["risk_assessment"] == "high"
+
+    _drop(spark, answers, "drop2", [(1, 1, json.dumps(low)), (3, 1, json.dumps(J))])
+    q = start_case_note_stream(spark, answers, notes_root, ckpt, available_now=True)
+    q.awaitTermination(120)
+    out = {r["transaction_id"]: r for r in NoteTable(spark, notes_root).latest().collect()}
+    assert set(out) == {"1", "3"}
+    assert out["1"]["risk_assessment"] == "low"                 # replaced by the new answer
+    assert out["1"]["created_at"] == first["1"]["created_at"]   # creation time kept
