@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -59,16 +61,30 @@ def train_fraud_rate(transactions: DataFrame) -> DataFrame:
                  percent(fraud, total).alias("fraud_rate")))
 
 
+# Spark type names as standard SQL type names (the source reports its catalog's names).
+SQL_TYPE_NAMES = {"tinyint": "TINYINT", "smallint": "SMALLINT", "int": "INTEGER",
+                  "bigint": "BIGINT", "float": "FLOAT", "double": "DOUBLE", "string": "VARCHAR",
+                  "boolean": "BOOLEAN", "date": "DATE", "timestamp": "TIMESTAMP WITH TIME ZONE"}
+
+
 def type_check(transactions: DataFrame, columns=INTEGER_CARD_COLUMNS) -> DataFrame:
-    """(column_name, data_type, status): OK when the staged column is an integer type.
+    """(column_name, data_type, status): OK when the staged column has an integer type.
 
-    The type is read with ``typeof`` on the table itself (first row only), so
-    the check runs against the stored data, not a declared schema.
+    Read from the table's catalog description (``DESCRIBE``), like a query on
+    the information schema: no data is scanned.
     """
-    types = transactions.select(*[F.typeof(F.col(c)).alias(c) for c in columns]).limit(1)
-    pairs = ", ".join(f"'{c}', upper(`{c}`)" for c in columns)
-    long = types.selectExpr(f"stack({len(columns)}, {pairs}) AS (column_name, data_type)")
-    return (long.select("column_name", "data_type",
-                        F.when(F.col("data_type").contains("INT"), "OK")
-                        .otherwise("WARN - expected INTEGER").alias("status"))
+    spark = transactions.sparkSession
+    view = f"_riskmart_describe_{uuid.uuid4().hex}"
+    transactions.createOrReplaceTempView(view)
+    try:
+        described = spark.sql(f"DESCRIBE {view}")          # runs now; result is local
+    finally:
+        spark.catalog.dropTempView(view)
+    names = F.create_map(*[F.lit(x) for kv in SQL_TYPE_NAMES.items() for x in kv])
+    sql_type = F.coalesce(F.element_at(names, F.col("data_type")), F.upper("data_type"))
+    return (described.where(F.col("col_name").isin(list(columns)))
+            .select(F.col("col_name").alias("column_name"), sql_type.alias("data_type"))
+            .select("column_name", "data_type",
+                    F.when(F.col("data_type").contains("INT"), "OK")
+                    .otherwise("WARN - expected INTEGER").alias("status"))
             .orderBy("column_name"))

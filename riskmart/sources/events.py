@@ -61,7 +61,12 @@ def events_to_transactions(events: DataFrame) -> DataFrame:
 
 
 def events_to_identity(transactions: DataFrame) -> DataFrame:
-    """Staged identity rows: every fourth transaction has one."""
+    """Staged identity rows: every fourth transaction has one.
+
+    This rule defines the identity table of the fixture (about a quarter of the
+    transactions carry identity data, as in the source data); it is not a
+    sample - every transaction is read and every qualifying one is kept.
+    """
     tid = F.col("transaction_id")
     staged = transactions.where(tid % 4 == 0).select(
         "split", "transaction_id",

@@ -44,6 +44,5 @@ def test_query_matches_oracle(spark, con, name):
         assert all(_same(x, y) for x, y in zip(a, b)), (a, b)
 
 
-def test_every_query_has_oracle_or_is_rows_only():
-    rows_only = set(entry.queries()) - set(entry.oracle_sql())
-    assert rows_only == {"type_check"}
+def test_every_query_has_oracle():
+    assert set(entry.queries()) == set(entry.oracle_sql())
