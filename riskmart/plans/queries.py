@@ -116,8 +116,12 @@ _ANSWER_LOCK = threading.RLock()
 
 
 def _candidates(spark, sf_dir):
+    """The batch's candidate rows, fetched once before review (written as a table)."""
     L = layers_for(spark, sf_dir)
-    return inv.candidates(L.scoring, L.enriched, BATCH_SIZE)
+    with _ANSWER_LOCK:
+        if not L.store.exists("review_candidates"):
+            L.store.write("review_candidates", inv.candidates(L.scoring, L.enriched, BATCH_SIZE))
+    return L.store.read("review_candidates", inv.CANDIDATE_COLUMNS + ["candidate_rank"])
 
 
 def _answers(spark, sf_dir, shift: int = 0):
@@ -149,7 +153,8 @@ def _notes(spark, sf_dir):
 
 @query("investigation_candidates")
 def investigation_candidates(spark, sf_dir):
-    return _candidates(spark, sf_dir)
+    L = layers_for(spark, sf_dir)
+    return inv.candidates(L.scoring, L.enriched, BATCH_SIZE)
 
 
 @query("customer_context")
