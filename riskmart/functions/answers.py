@@ -41,11 +41,15 @@ def json_body(text) -> Column:
     return F.nullif(found, F.lit(""))
 
 
-def strict_variant(body) -> Column:
-    """``[body]`` parsed as a variant when ``body`` is exactly one JSON value, else NULL."""
-    wrapped = F.try_parse_json(F.concat(F.lit("["), _col(body), F.lit("]")))
-    second = F.variant_get(wrapped, "$[1]", "variant")
-    return F.when(wrapped.isNotNull() & second.isNull(), wrapped)
+def wrap_json(body) -> Column:
+    """``[body]`` parsed as a variant; NULL when it is not valid JSON (trailing junk included)."""
+    return F.try_parse_json(F.concat(F.lit("["), _col(body), F.lit("]")))
+
+
+def single_value(wrapped) -> Column:
+    """The wrapped variant when it holds exactly one value (``{a},{b}`` has a ``$[1]``)."""
+    w = _col(wrapped)
+    return F.when(w.isNotNull() & F.variant_get(w, "$[1]", "variant").isNull(), w)
 
 
 def field(v, name: str, typ: str = "string") -> Column:
@@ -56,18 +60,15 @@ def field(v, name: str, typ: str = "string") -> Column:
 def parse_answers(df, raw: str = "raw_response", keep: list[str] | None = None):
     """``df`` with ``valid`` and the six answer fields (NULL unless valid).
 
-    Done in three projections - body, then variant and keys, then fields - so
+    Done in separate projections - body, then variant and keys, then fields - so
     each regex and each JSON parse runs once per row (Spark does not inline an
     expensive expression into a projection that uses it several times).
     """
     keep = list(df.columns) if keep is None else keep
     step1 = df.select(*keep, json_body(F.col(raw)).alias("__body"))
-    wrapped = F.try_parse_json(F.concat(F.lit("["), F.col("__body"), F.lit("]")))
-    step2a = step1.select(*keep, wrapped.alias("__w"),
+    step2a = step1.select(*keep, wrap_json("__body").alias("__w"),
                           F.json_object_keys(F.col("__body")).alias("__keys"))
-    single = F.variant_get(F.col("__w"), "$[1]", "variant").isNull()
-    step2 = step2a.select(*keep, F.when(F.col("__w").isNotNull() & single, F.col("__w")).alias("__v"),
-                          "__keys")
+    step2 = step2a.select(*keep, single_value("__w").alias("__v"), "__keys")
     required = F.array(*[F.lit(k) for k in ANSWER_FIELDS])
     valid = F.coalesce(
         F.col("__v").isNotNull()

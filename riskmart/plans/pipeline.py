@@ -16,7 +16,13 @@ from pyspark.sql import functions as F
 from riskmart.operators.enrich import enrich
 from riskmart.operators.marts import email_domain_mart, fraud_fact
 from riskmart.operators.scoring import score
-from riskmart.schema import ENRICHED_COLUMNS, IDENTITY_TYPES, SCORING_COLUMNS, TRANSACTION_TYPES
+from riskmart.operators.staging import stage_identity, stage_transactions
+from riskmart.schema import (
+    CASE_NOTE_TYPES, ENRICHED_COLUMNS, FACT_COLUMNS, IDENTITY_TYPES, SCORING_COLUMNS,
+    TRANSACTION_TYPES, ddl,
+)
+from riskmart.session import join_path
+from riskmart.sources.csv import export_csv, import_csv, read_raw_csv
 from riskmart.sources.tables import LayerStore
 
 # Layer names in build order, with the column a layer is partitioned by.
@@ -112,10 +118,6 @@ def open_layers(spark: SparkSession, root: str) -> Layers:
 # ---------------------------------------------------------------------------
 # Raw CSV input and dashboard CSV output
 # ---------------------------------------------------------------------------
-from riskmart.operators.staging import stage_identity, stage_transactions  # noqa: E402
-from riskmart.schema import CASE_NOTE_TYPES, FACT_COLUMNS, ddl  # noqa: E402
-from riskmart.session import join_path  # noqa: E402
-from riskmart.sources.csv import export_csv, import_csv, read_raw_csv  # noqa: E402
 
 # Raw file names of the four inputs.
 RAW_FILES = {

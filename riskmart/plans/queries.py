@@ -5,11 +5,24 @@ from __future__ import annotations
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from riskmart.operators import casenotes as cn
+from riskmart.operators import investigate as inv
+from riskmart.operators import quality as qa
+from riskmart.operators import reporting as rp
 from riskmart.operators import scoring as sc
 from riskmart.operators.marts import ordered_domain_mart
+from riskmart.plans.batch import write_report_base
 from riskmart.plans.catalog import QueryFn, layers_for
+from riskmart.plans.fixtures import answers_for
 from riskmart.plans.pipeline import layer_row_counts
+from riskmart.schema import IDENTITY_NULL_REPORT, TRANSACTION_NULL_REPORT
+from riskmart.sources.csv import CASE_NOTE_SCHEMA, export_csv, import_csv
+
+BATCH_SIZE = 20          # one review batch, as the source's showcase run
+HISTORY_ROWS = 10
+_ONCE_LOCK = threading.RLock()
 
 REGISTRY: dict[str, QueryFn] = {}
 
@@ -21,6 +34,15 @@ def query(name: str):
     return deco
 
 
+def _once(spark, sf_dir, name: str, build, order=None) -> DataFrame:
+    """Table ``name`` next to the layers, written by ``build()`` on first use, then read."""
+    store = layers_for(spark, sf_dir).store
+    with _ONCE_LOCK:
+        if not store.exists(name):
+            store.write(name, build())
+    return store.read(name, order)
+
+
 def _layer(name: str) -> QueryFn:
     def fn(spark: SparkSession, sf_dir: str) -> DataFrame:
         return layers_for(spark, sf_dir).table(name)
@@ -66,8 +88,6 @@ def pipeline_row_counts(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Quality report
 # ---------------------------------------------------------------------------
-from riskmart.operators import quality as qa  # noqa: E402
-from riskmart.schema import IDENTITY_NULL_REPORT, TRANSACTION_NULL_REPORT  # noqa: E402
 
 
 @query("split_row_counts")
@@ -106,32 +126,20 @@ def type_check(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Investigation and case notes (a batch of the top 20, as the source's showcase run)
 # ---------------------------------------------------------------------------
-from riskmart.operators import casenotes as cn  # noqa: E402
-from riskmart.operators import investigate as inv  # noqa: E402
-from riskmart.plans.fixtures import answers_for  # noqa: E402
-
-BATCH_SIZE = 20
-HISTORY_ROWS = 10
-_ANSWER_LOCK = threading.RLock()
 
 
 def _candidates(spark, sf_dir):
     """The batch's candidate rows, fetched once before review (written as a table)."""
     L = layers_for(spark, sf_dir)
-    with _ANSWER_LOCK:
-        if not L.store.exists("review_candidates"):
-            L.store.write("review_candidates", inv.candidates(L.scoring, L.enriched, BATCH_SIZE))
-    return L.store.read("review_candidates", inv.CANDIDATE_COLUMNS + ["candidate_rank"])
+    return _once(spark, sf_dir, "review_candidates",
+                 lambda: inv.candidates(L.scoring, L.enriched, BATCH_SIZE),
+                 inv.CANDIDATE_COLUMNS + ["candidate_rank"])
 
 
 def _answers(spark, sf_dir, shift: int = 0):
     """The review answers of a run, written once as a table (answers arrive as files)."""
-    store = layers_for(spark, sf_dir).store
-    name = f"review_answers_{shift}"
-    with _ANSWER_LOCK:
-        if not store.exists(name):
-            store.write(name, answers_for(_candidates(spark, sf_dir), shift))
-    return store.read(name)
+    return _once(spark, sf_dir, f"review_answers_{shift}",
+                 lambda: answers_for(_candidates(spark, sf_dir), shift))
 
 
 def _results(spark, sf_dir, shift: int = 0):
@@ -142,13 +150,10 @@ def _results(spark, sf_dir, shift: int = 0):
 
 def _notes(spark, sf_dir):
     """The case-note table after the first review run (written once, like the source's table)."""
-    store = layers_for(spark, sf_dir).store
-    with _ANSWER_LOCK:
-        if not store.exists("case_notes"):
-            _, results = _results(spark, sf_dir)
-            store.write("case_notes",
-                        cn.upsert_case_notes(cn.empty_notes(spark), cn.notes_from_results(results)))
-    return store.read("case_notes", cn.NOTE_COLUMNS)
+    def build():
+        _, results = _results(spark, sf_dir)
+        return cn.upsert_case_notes(cn.empty_notes(spark), cn.notes_from_results(results))
+    return _once(spark, sf_dir, "case_notes", build, cn.NOTE_COLUMNS)
 
 
 @query("investigation_candidates")
@@ -215,14 +220,12 @@ def action_counts(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Dashboard
 # ---------------------------------------------------------------------------
-from riskmart.operators import reporting as rp  # noqa: E402
-from riskmart.plans.batch import write_report_base  # noqa: E402
 
 
 def _base(spark, sf_dir):
     """The dashboard extract: one big join written once, then scanned by every worksheet."""
     L = layers_for(spark, sf_dir)
-    with _ANSWER_LOCK:
+    with _ONCE_LOCK:
         if not L.store.exists("report_base"):
             write_report_base(L.store, L.fact, _notes(spark, sf_dir), L.scoring)
     return L.store.read("report_base")
@@ -276,13 +279,9 @@ def transaction_deep_dive(spark, sf_dir):
     return rp.deep_dive(_base(spark, sf_dir), notes)
 
 
-from pyspark.sql import functions as F  # noqa: E402
-
-
 # ---------------------------------------------------------------------------
 # Dashboard export: case notes through CSV and back
 # ---------------------------------------------------------------------------
-from riskmart.sources.csv import CASE_NOTE_SCHEMA, export_csv, import_csv  # noqa: E402
 
 
 @query("csv_round_trip")
