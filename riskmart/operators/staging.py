@@ -8,8 +8,7 @@ test are then unioned by name (no dedup).  Unknown extra columns pass through.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from riskmart.functions.columns import normalize_col
 from riskmart.schema import CARD_INT_COLUMNS, EMAIL_COLUMNS, IDENTITY_TYPES, TRANSACTION_TYPES
@@ -18,49 +17,55 @@ from riskmart.sources.conform import conform
 LABEL_COLUMN = "isFraud"
 
 
-def _text(raw_name: str) -> Column:
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _text(raw_name: str) -> str:
     # Empty text is NULL (quoted or not), as in the source loader.
-    c = F.col(f"`{raw_name}`").cast("string")
-    return F.when(c == "", F.lit(None)).otherwise(c)
+    return f"nullif(CAST({_q(raw_name)} AS STRING), '')"
 
 
-def _typed(raw_name: str, target: str | None) -> Column:
+def _typed(raw_name: str, target: str | None) -> str:
     c = _text(raw_name)
     if target is None or target == "string":
         return c
     if target in ("int", "bigint"):
         # "404.0" -> 404; unparsable text -> NULL.
-        return F.rint(c.try_cast("double")).try_cast(target)
-    return c.try_cast(target)
+        return f"try_cast(rint(try_cast({c} AS DOUBLE)) AS {target})"
+    return f"try_cast({c} AS {target})"
 
 
 def select_transactions(raw: DataFrame, split: str, has_label: bool) -> DataFrame:
-    """One raw transaction file as staged columns (header-driven pass-through select)."""
-    cols = [F.lit(split).alias("split")]
+    """One raw transaction file as staged columns (header-driven pass-through select).
+
+    The select list is SQL text (one call into the JVM for hundreds of columns).
+    """
+    exprs = [f"'{split}' AS split"]
     if has_label and LABEL_COLUMN in raw.columns:
-        cols.append((_text(LABEL_COLUMN).try_cast("bigint") != 0).alias("is_fraud"))
+        exprs.append(f"try_cast({_text(LABEL_COLUMN)} AS BIGINT) <> 0 AS is_fraud")
     else:
-        cols.append(F.lit(None).cast("boolean").alias("is_fraud"))
+        exprs.append("CAST(NULL AS BOOLEAN) AS is_fraud")
     for name in raw.columns:
         if name == LABEL_COLUMN:
             continue
-        snake = normalize_col(name)
+        snake = _q(normalize_col(name))
         if name in EMAIL_COLUMNS:
-            cols.append(F.lower(_text(name)).alias(snake))
+            exprs.append(f"lower({_text(name)}) AS {snake}")
         elif name in CARD_INT_COLUMNS:
-            cols.append(_typed(name, "int").alias(snake))
+            exprs.append(f"{_typed(name, 'int')} AS {snake}")
         else:
-            cols.append(_typed(name, TRANSACTION_TYPES.get(snake)).alias(snake))
-    return raw.select(*cols)
+            exprs.append(f"{_typed(name, TRANSACTION_TYPES.get(normalize_col(name)))} AS {snake}")
+    return raw.selectExpr(*exprs)
 
 
 def select_identity(raw: DataFrame, split: str) -> DataFrame:
     """One raw identity file as staged columns (``id-01`` -> ``id_01``)."""
-    cols = [F.lit(split).alias("split")]
+    exprs = [f"'{split}' AS split"]
     for name in raw.columns:
         snake = normalize_col(name)
-        cols.append(_typed(name, IDENTITY_TYPES.get(snake)).alias(snake))
-    return raw.select(*cols)
+        exprs.append(f"{_typed(name, IDENTITY_TYPES.get(snake))} AS {_q(snake)}")
+    return raw.selectExpr(*exprs)
 
 
 def stage_transactions(train_raw: DataFrame, test_raw: DataFrame | None = None) -> DataFrame:

@@ -21,6 +21,9 @@ class LayerStore:
         self.spark = spark
         self.root = root.rstrip("/")
         self._orders: dict[str, list[str]] = {}
+        # Frames over written tables, kept so repeated reads do not list files again.
+        # This holds query plans only, never data; a rewrite replaces the entry.
+        self._frames: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
         return join_path(self.root, name)
@@ -33,10 +36,13 @@ class LayerStore:
             writer = writer.partitionBy(partition_by)
         writer.parquet(self.path(name))
         self._orders[name] = list(df.columns)
+        self._frames.pop(name, None)
         return self.read(name)
 
     def read(self, name: str, order: list[str] | None = None) -> DataFrame:
-        df = self.spark.read.parquet(self.path(name))
+        df = self._frames.get(name)
+        if df is None:
+            df = self._frames[name] = self.spark.read.parquet(self.path(name))
         order = order or self._orders.get(name)
         if order and set(order) == set(df.columns):
             df = df.select(*[f"`{c}`" for c in order])
@@ -44,6 +50,8 @@ class LayerStore:
 
     def exists(self, name: str) -> bool:
         """True when layer ``name`` was written completely (its commit marker exists)."""
+        if name in self._frames:
+            return True
         try:
             self.spark.read.text(join_path(self.path(name), "_SUCCESS")).schema
             return True
