@@ -48,6 +48,7 @@ def main(argv=None) -> None:
     from riskmart.plans.pipeline import build_layers, export_dashboard, open_layers, staged_from_csv
     from riskmart.sources.events import events_to_identity, staged_from_events
     from riskmart.sources.tables import LayerStore
+    from riskmart.streaming.casenotes import NoteTable
 
     spark = build_session(a.master)
     layers_root = join_path(a.work, "layers")
@@ -64,21 +65,20 @@ def main(argv=None) -> None:
     layers = open_layers(spark, layers_root)
     store = layers.store
     if a.command == "prompts":
-        inputs = review_inputs(layers, n=a.limit)
-        store.write("review_candidates", inputs.candidates)
+        inputs = review_inputs(layers, n=a.limit)          # writes review_candidates
         store.write("review_prompts", inputs.prompts)
         store.read("review_prompts").orderBy("candidate_rank").select("transaction_id").show()
     elif a.command == "notes":
         cands = store.read("review_candidates")
-        existing = store.read("case_notes") if store.exists("case_notes") else cn.empty_notes(spark)
-        out = review_outcome(cands, spark.read.parquet(a.answers), existing)
-        version = "case_notes_next" if store.exists("case_notes") else "case_notes"
-        store.write(version, out.notes)
+        notes = NoteTable(spark, join_path(a.work, "case_notes"))
+        version = notes.next_version()
+        out = review_outcome(cands, spark.read.parquet(a.answers), notes.latest())
+        notes.write_version(version, out.notes)              # upsert = a new version
         out.summary.show(truncate=False)
         cn.label_counts(out.results, "risk_assessment").show()
         cn.label_counts(out.results, "recommended_action").show()
     elif a.command == "export":
-        notes = store.read("case_notes") if store.exists("case_notes") else cn.empty_notes(spark)
+        notes = NoteTable(spark, join_path(a.work, "case_notes")).latest()
         for name, path in export_dashboard(layers, notes, a.out).items():
             print(f"{name}: {path}")
 

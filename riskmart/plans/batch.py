@@ -26,8 +26,13 @@ class ReviewInputs:
 
 
 def review_inputs(layers: Layers, n: int = 5, k: int = 10) -> ReviewInputs:
-    """The first half: everything the reviewer sees, one row (or k rows) per candidate."""
-    cands = inv.candidates(layers.scoring, layers.enriched, n)
+    """The first half: everything the reviewer sees, one row (or k rows) per candidate.
+
+    The candidate list is written first (``review_candidates``), so the top-N
+    over the scoring table runs once; statistics, history and prompts read it.
+    """
+    cands = layers.store.write("review_candidates",
+                               inv.candidates(layers.scoring, layers.enriched, n))
     stats = inv.card_statistics(cands, layers.enriched)
     hist = inv.recent_history(cands, layers.enriched, k)
     return ReviewInputs(cands, stats, hist, inv.prompts(cands, stats, hist))

@@ -58,6 +58,10 @@ class NoteTable:
     def write_version(self, version: int, df: DataFrame) -> None:
         df.write.mode("overwrite").parquet(join_path(self.root, f"v={version}"))
 
+    def next_version(self) -> int:
+        versions = self._versions()
+        return versions[-1] + 1 if versions else 0
+
 
 def upsert_batch(table: NoteTable, answers: DataFrame, batch_id: int,
                  max_retries: int = 2) -> None:

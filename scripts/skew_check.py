@@ -59,7 +59,7 @@ def main():
                           identity_from_transactions=events_to_identity)
     t1 = time.perf_counter()
     inputs = review_inputs(layers, n=20)
-    for name in ("candidates", "statistics", "history", "prompts"):
+    for name in ("statistics", "history", "prompts"):
         store.write(f"review_{name}", getattr(inputs, name))
     t2 = time.perf_counter()
     hot = layers.enriched.where(F.col("card1") == HOT_USER).count()
