@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A side is broadcast only when it has at most this many rows (checked, not assumed).
-DEFAULT_BROADCAST_ROWS = 2_000_000
+# A side is broadcast only when a count shows at most this many rows.  Sized for
+# narrow rows (a key and a flag: a few MB); pass a smaller bound for wide rows.
+DEFAULT_BROADCAST_ROWS = 100_000
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:

@@ -19,16 +19,18 @@ NOTE_FIELDS = ["risk_assessment", "likely_pattern", "confidence", "reasoning",
 
 
 def report_base(fact: DataFrame, notes: DataFrame, scored: DataFrame,
-                note_broadcast_rows: int = 2_000_000) -> DataFrame:
+                note_broadcast_rows: int = 20_000) -> DataFrame:
     """The dashboard's join tree as one frame.
 
-    Notes are few (one per reviewed transaction): broadcast after a row check.
-    Fact and scoring are both large and joined on their unique key.
+    Notes are few (one per reviewed transaction) but wide (answer text, a few
+    KB each): broadcast only after a count shows at most ``note_broadcast_rows``
+    (tens of MB), else a shuffle join.  Fact and scoring are both large and
+    joined on their unique key.
     """
     f = fact.alias("f")
     n = broadcast_if_small(
         notes.select(F.col("transaction_id").try_cast("bigint").alias("note_transaction_id"),
-                     *NOTE_FIELDS)).alias("n")
+                     *NOTE_FIELDS), note_broadcast_rows).alias("n")
     s_cols = [F.col(c).alias(f"scoring_{c}" if c in FACT_COLUMNS else c) for c in SCORING_COLUMNS]
     s = scored.select(*s_cols).alias("s")
     return (f.join(n, F.col("f.transaction_id") == F.col("n.note_transaction_id"), "left")

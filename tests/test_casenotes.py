@@ -61,3 +61,13 @@ def test_deep_dive_by_id(spark):
     assert deep_dive(base, 1).count() == 1
     ids = spark.createDataFrame([(2,)], "transaction_id long")
     assert deep_dive(base, ids).select(F.col("product_cd")).first()[0] == "C"
+
+
+def test_broadcast_only_below_the_row_bound(spark):
+    from riskmart.operators.joins import broadcast_if_small
+    df = spark.range(3)
+
+    def hinted(d):
+        return "broadcast" in d._jdf.queryExecution().analyzed().toString().lower()
+    assert hinted(broadcast_if_small(df, max_rows=3))
+    assert not hinted(broadcast_if_small(df, max_rows=2))
