@@ -31,8 +31,9 @@ def _typed(raw_name: str, target: str | None) -> str:
     if target is None or target == "string":
         return c
     if target in ("int", "bigint"):
-        # "404.0" -> 404; unparsable text -> NULL.
-        return f"try_cast(rint(try_cast({c} AS DOUBLE)) AS {target})"
+        # Integer text exactly; "404.0" -> 404 through a double; unparsable text -> NULL.
+        return (f"coalesce(try_cast({c} AS {target}), "
+                f"try_cast(rint(try_cast({c} AS DOUBLE)) AS {target}))")
     return f"try_cast({c} AS {target})"
 
 

@@ -16,6 +16,7 @@ TRAIN_TXN = """TransactionID,isFraud,TransactionDT,TransactionAmt,ProductCD,card
 """
 TEST_TXN = """TransactionID,TransactionDT,TransactionAmt,ProductCD,card1,card2,card3,card4,card5,card6,addr1,addr2,dist1,dist2,P_emaildomain,R_emaildomain,C1,C2,D1,M1,V1,Extra_Col
 10,1814500,12.0,W,13926,404.0,150.0,visa,142.0,credit,315.0,87.0,,,gmail.com,,5.0,1.0,,T,,baz
+9007199254740993,1814501,1.0,W,9007199254740993,404.5,150.0,visa,142.0,credit,,,,,gmail.com,,5.0,1.0,,T,,
 """
 TRAIN_ID = """TransactionID,id_01,id_02,id_12,id_13,id_15,id_30,id_31,DeviceType,DeviceInfo
 1,0.0,70787.0,NotFound,,New,Android 7.0,samsung browser 6.2,mobile,SAMSUNG SM-G892A
@@ -48,7 +49,9 @@ def test_header_discovery(spark, raw_dir):
 def test_transaction_staging(staged):
     txn, _ = staged
     rows = {r["transaction_id"]: r for r in txn.collect()}
-    assert set(rows) == {1, 2, 3, 10}
+    assert set(rows) == {1, 2, 3, 10, 9007199254740993}          # 2**53 + 1 kept exactly
+    assert rows[9007199254740993]["card1"] == 9007199254740993
+    assert rows[9007199254740993]["card2"] == 404                # 404.5 rounds half to even
     assert rows[1]["split"] == "train" and rows[1]["is_fraud"] is False
     assert rows[2]["is_fraud"] is True
     assert rows[10]["split"] == "test" and rows[10]["is_fraud"] is None
@@ -79,7 +82,7 @@ def test_layers_from_csv(spark, staged, tmp_dir):
     txn, ident = staged
     layers = build_layers(LayerStore(spark, tmp_dir), txn, ident, min_rows=1)
     e = {r["transaction_id"]: r for r in layers.enriched.collect()}
-    assert len(e) == 4                                  # left join keeps every transaction
+    assert len(e) == 5                                  # left join keeps every transaction
     assert e[2]["device_type"] is None                  # transaction without identity
     assert e[1]["device_info"] == "SAMSUNG SM-G892A"
     assert e[3]["amount_bucket"] == "over_500" and e[3]["hour_of_day"] == 0

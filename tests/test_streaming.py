@@ -33,3 +33,15 @@ def test_stream_upserts_notes(spark, tmp_dir):
     assert set(out) == {"1", "3"}
     assert out["1"]["risk_assessment"] == "low"                 # replaced by the new answer
     assert out["1"]["created_at"] == first["1"]["created_at"]   # creation time kept
+
+
+def test_replayed_batch_is_idempotent(spark, tmp_dir):
+    from riskmart.streaming.casenotes import upsert_batch
+    table = NoteTable(spark, os.path.join(tmp_dir, "notes"))
+    rows = [(5, 1, json.dumps(J))]
+    answers = spark.createDataFrame(rows, "transaction_id bigint, attempt int, raw_response string")
+    upsert_batch(table, answers, 0)
+    first = sorted(map(tuple, table.latest().drop("created_at").collect()))
+    upsert_batch(table, answers, 0)                 # the same micro-batch again
+    assert sorted(map(tuple, table.latest().drop("created_at").collect())) == first
+    assert table.next_version() == 1
