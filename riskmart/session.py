@@ -16,6 +16,9 @@ JOB_SQL_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Python's json keeps the last of duplicate keys; make the variant parser agree.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # Layers are partitioned by split (two values): keep one writer per value open
+    # instead of sorting every task's (wide) rows by the partition column first.
+    "spark.sql.maxConcurrentOutputFileWriters": "4",
 }
 
 
