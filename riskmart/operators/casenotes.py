@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskmart.functions.answers import parse_answers
-from riskmart.schema import ANSWER_FIELDS, CASE_NOTE_TYPES
+from riskmart.schema import ANSWER_FIELDS, CASE_NOTE_TYPES, ddl
 
 NOTE_COLUMNS = list(CASE_NOTE_TYPES)            # key, six fields, raw text, created_at
 UPSERT_COLUMNS = NOTE_COLUMNS[:-1]              # what an upsert writes (not created_at)
@@ -54,7 +54,6 @@ def notes_from_results(results: DataFrame) -> DataFrame:
 
 def empty_notes(spark) -> DataFrame:
     """The case-note table when none exists yet."""
-    from riskmart.schema import ddl
     return spark.createDataFrame([], ddl(CASE_NOTE_TYPES))
 
 
