@@ -47,14 +47,18 @@ def shared_dir(spark: SparkSession) -> str:
     when the session has none - local runs and tests - a private folder under
     the system temp dir is created and registered as the checkpoint dir.
     """
-    sc = spark.sparkContext
-    path = (spark.conf.get("spark.checkpoint.dir", None)
-            or sc.getConf().get("spark.checkpoint.dir", None)
-            or sc.getCheckpointDir())
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:        # a remote (Connect) session has no local SparkContext
+        sc = None
+    if not path and sc is not None:
+        path = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
         path = tempfile.mkdtemp(prefix="riskmart-")
-        sc.setCheckpointDir(path)
-        path = sc.getCheckpointDir() or path
+        if sc is not None:
+            sc.setCheckpointDir(path)
+            path = sc.getCheckpointDir() or path
     return path.rstrip("/")
 
 
