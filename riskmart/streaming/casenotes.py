@@ -14,6 +14,8 @@ same version from the same predecessor, so the sink is idempotent.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,15 +34,14 @@ class NoteTable:
         self.root = root.rstrip("/")
 
     def _versions(self) -> list[int]:
+        """Committed versions, from the file listing (no data is read)."""
         try:
-            df = self.spark.read.parquet(self.root)
+            files = self.spark.read.parquet(self.root).inputFiles()
         except AnalysisException:
             return []
-        if "v" not in df.columns:
-            return []
+        found = {int(m.group(1)) for f in files for m in [re.search(r"/v=(\d+)/", f)] if m}
         # Only versions whose write committed (their folder holds _SUCCESS).
-        return [v for v in sorted(r[0] for r in df.select("v").distinct().collect())
-                if self._committed(v)]
+        return [v for v in sorted(found) if self._committed(v)]
 
     def _committed(self, version: int) -> bool:
         try:
