@@ -142,12 +142,19 @@ def _answers(spark, sf_dir, shift: int = 0):
                  lambda: answers_for(_candidates(spark, sf_dir), shift))
 
 
-def _results(spark, sf_dir, shift: int = 0):
+def _first_valid(spark, sf_dir, shift: int = 0):
     cands = _candidates(spark, sf_dir)
     parsed = cn.parse_responses(_answers(spark, sf_dir, shift))
     return cands, cn.first_valid(parsed, cands.select("transaction_id"))
 
 
+def _results(spark, sf_dir, shift: int = 0):
+    """Candidates and their review results (first valid answer), the results written once."""
+    cands = _candidates(spark, sf_dir)
+    return cands, _once(spark, sf_dir, f"review_results_{shift}",
+                        lambda: _first_valid(spark, sf_dir, shift)[1])
+
+
 def _notes(spark, sf_dir):
     """The case-note table after the first review run (written once, like the source's table)."""
     def build():
@@ -189,7 +196,7 @@ def case_note_parse(spark, sf_dir):
 
 @query("case_note_first_valid")
 def case_note_first_valid(spark, sf_dir):
-    return _results(spark, sf_dir)[1]
+    return _first_valid(spark, sf_dir)[1]
 
 
 @query("case_notes_upsert")
