@@ -64,3 +64,16 @@ def test_dashboard_worksheets_scan_the_extract(plans):
                  "investigation_queue"]:
         plan = plans[name]
         assert "Join" not in plan and "FileScan parquet" in plan, name
+
+
+def test_windowed_history_is_a_hash_join(spark):
+    from riskmart.operators.investigate import card_statistics, recent_history
+    from riskmart.plans.catalog import layers_for
+    from riskmart.plans.queries import _candidates
+    L = layers_for(spark, SF001)
+    cands = _candidates(spark, SF001)
+    for df in (card_statistics(cands, L.enriched, lookback_seconds=30 * 86400, only_before=True),
+               recent_history(cands, L.enriched, 10, lookback_seconds=30 * 86400)):
+        plan = _plan(df)
+        assert "BroadcastHashJoin" in plan
+        assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
