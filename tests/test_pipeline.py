@@ -89,3 +89,15 @@ def test_entry_smoke(spark):
     assert df.count() > 0
     # At sf0.001 no domain is risky, so no score of 100.
     assert layers_for(spark, SF0001).scoring.where("email_risk_flag = 1").count() == 0
+
+
+def test_floor_hour_mode_gives_clock_hours(spark, tmp_dir):
+    from riskmart.plans.pipeline import build_layers
+    from riskmart.sources.events import events_to_identity, staged_from_events
+    from riskmart.sources.tables import LayerStore
+    txn, _ = staged_from_events(spark, SF0001)
+    layers = build_layers(LayerStore(spark, tmp_dir), txn,
+                          identity_from_transactions=events_to_identity, hour_mode="floor")
+    r = layers.enriched.agg(F.min("hour_of_day"), F.max("hour_of_day"),
+                            F.max("day_of_week")).first()
+    assert r[0] >= 0 and r[1] <= 23 and r[2] <= 6
