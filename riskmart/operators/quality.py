@@ -39,6 +39,9 @@ def null_counts(df: DataFrame, columns: list[str]) -> DataFrame:
                        "null_count", percent("null_count", "__total").alias("null_pct"))
 
 
+null_rates = null_counts      # the report's name for the same figures
+
+
 def identity_coverage(transactions: DataFrame, identity: DataFrame) -> DataFrame:
     """Per split of the transactions: rows, rows with an identity row, percent (1 decimal)."""
     t = transactions.select("split", "transaction_id").alias("t")
