@@ -35,13 +35,18 @@ CODE_VERSION = _code_version()
 
 
 def layers_for(spark: SparkSession, sf_dir: str) -> Layers:
-    """Written layers for the driver tables in ``sf_dir`` (built on first use)."""
+    """Written layers for the driver tables in ``sf_dir`` (built on first use).
+
+    The files are shared by every session that names the same shared folder;
+    the wrapper (which holds frames of one session) is reused only by that
+    session, so a new session after ``stop()`` reopens the files instead.
+    """
     sf_dir = sf_dir.rstrip("/")
     base = shared_dir(spark)
     key = (base, sf_dir)
     with _LOCK:
         layers = _BUILT.get(key)
-        if layers is not None:
+        if layers is not None and layers.store.spark is spark:
             return layers
         slug = hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:10]
         root = join_path(base, "riskmart-layers", f"{slug}-{CODE_VERSION}")
