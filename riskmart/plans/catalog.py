@@ -2,6 +2,10 @@
 
 Queries read the pipeline's written layers.  The layers of one input folder
 are built once per code version and shared folder, then reused by every query.
+
+One application builds a given folder at a time (a lock guards threads of one
+driver).  Two applications that may start the same build at the same moment
+should use different ``spark.checkpoint.dir`` values.
 """
 
 from __future__ import annotations
