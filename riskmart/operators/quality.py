@@ -24,7 +24,7 @@ def split_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def null_counts(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(column_name, position, null_count, null_pct) for ``columns`` in one scan.
+    """(column_name, position, null_count, total_rows, null_pct) for ``columns`` in one scan.
 
     One global aggregate counts every column's NULLs at once (partial per task,
     so the scan is a single pass); the one-row result is then unpivoted.
@@ -36,7 +36,8 @@ def null_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     long = wide.selectExpr("__total",
                            f"stack({len(columns)}, {pairs}) AS (column_name, position, null_count)")
     return long.select("column_name", F.col("position").cast("int").alias("position"),
-                       "null_count", percent("null_count", "__total").alias("null_pct"))
+                       "null_count", F.col("__total").alias("total_rows"),
+                       percent("null_count", "__total").alias("null_pct"))
 
 
 null_rates = null_counts      # the report's name for the same figures
