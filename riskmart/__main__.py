@@ -41,19 +41,24 @@ def main(argv=None) -> None:
     p.add_argument("--answers", help="answer table (parquet: transaction_id, attempt, raw_response)")
     p.add_argument("--out")
     p.add_argument("--master")
+    p.add_argument("--catalog-db", help="keep layers as catalog tables, bucketed by "
+                                        "transaction_id (needs a metastore across runs)")
+    p.add_argument("--buckets", type=int, default=64)
     a = p.parse_args(argv)
 
     from riskmart.operators import casenotes as cn
     from riskmart.plans.batch import review_inputs, review_outcome
-    from riskmart.plans.pipeline import build_layers, export_dashboard, open_layers, staged_from_csv
+    from riskmart.plans.pipeline import build_layers, export_dashboard, staged_from_csv
     from riskmart.sources.events import events_to_identity, staged_from_events
-    from riskmart.sources.tables import LayerStore
+    from riskmart.plans.pipeline import Layers
+    from riskmart.sources.tables import CatalogLayerStore, LayerStore
     from riskmart.streaming.casenotes import NoteTable
 
     spark = build_session(a.master)
     layers_root = join_path(a.work, "layers")
+    store = (CatalogLayerStore(spark, a.catalog_db, layers_root, a.buckets) if a.catalog_db
+             else LayerStore(spark, layers_root))
     if a.command in ("load", "events"):
-        store = LayerStore(spark, layers_root)
         if a.command == "load":
             txn, ident = staged_from_csv(spark, a.raw_dir)
             layers = build_layers(store, txn, ident)
@@ -62,8 +67,7 @@ def main(argv=None) -> None:
             layers = build_layers(store, txn, identity_from_transactions=events_to_identity)
         _report(layers)
         return
-    layers = open_layers(spark, layers_root)
-    store = layers.store
+    layers = Layers(store)
     if a.command == "prompts":
         inputs = review_inputs(layers, n=a.limit)          # writes review_candidates
         store.write("review_prompts", inputs.prompts)

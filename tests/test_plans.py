@@ -77,3 +77,30 @@ def test_windowed_history_is_a_hash_join(spark):
         plan = _plan(df)
         assert "BroadcastHashJoin" in plan
         assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_bucketed_layers_join_without_shuffle(spark, tmp_dir):
+    import uuid
+
+    from riskmart.operators.casenotes import empty_notes
+    from riskmart.operators.enrich import enrich
+    from riskmart.operators.reporting import report_base
+    from riskmart.plans.pipeline import build_layers
+    from riskmart.sources.events import events_to_identity, staged_from_events
+    from riskmart.sources.tables import CatalogLayerStore
+    from tests.conftest import SF0001
+
+    store = CatalogLayerStore(spark, f"riskmart_{uuid.uuid4().hex[:8]}", tmp_dir, buckets=8)
+    txn, _ = staged_from_events(spark, SF0001)
+    layers = build_layers(store, txn, identity_from_transactions=events_to_identity)
+    assert layers.enriched.count() == 1000 and layers.scoring.count() == 1000
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(enrich(layers.stg_transactions, layers.stg_identity))
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        base = report_base(layers.fact, empty_notes(spark), layers.scoring)
+        plan = _plan(base)
+        smj = plan.split("SortMergeJoin", 1)[1]
+        assert "SortMergeJoin" in plan and "Exchange hashpartitioning" not in smj
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
