@@ -33,3 +33,13 @@ def test_events_prompts_notes_export(spark, tmp_dir, capsys):
     assert sorted(os.listdir(out)) == ["case_notes", "fct_fraud_analysis", "rule_based_scoring"]
     text = capsys.readouterr().out
     assert "investigated" in text and "rule_based_scoring" in text
+
+
+def test_catalog_store_flow(spark, tmp_dir):
+    import uuid
+    db = f"riskmart_cli_{uuid.uuid4().hex[:8]}"
+    work = os.path.join(tmp_dir, "work")
+    main(["events", "--sf-dir", SF0001, "--work", work, "--catalog-db", db, "--buckets", "4"])
+    main(["prompts", "--work", work, "--limit", "3", "--catalog-db", db])
+    assert spark.table(f"{db}.review_prompts").count() == 3
+    assert spark.catalog.tableExists("int_transactions_enriched", db)
