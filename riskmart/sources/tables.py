@@ -108,4 +108,4 @@ class CatalogLayerStore(LayerStore):
         return df
 
     def exists(self, name: str) -> bool:
-        return name in self._frames or self.spark.catalog.tableExists(name, self.database)
+        return name in self._frames or self.spark.catalog.tableExists(f"{self.database}.{name}")

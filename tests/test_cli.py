@@ -42,4 +42,4 @@ def test_catalog_store_flow(spark, tmp_dir):
     main(["events", "--sf-dir", SF0001, "--work", work, "--catalog-db", db, "--buckets", "4"])
     main(["prompts", "--work", work, "--limit", "3", "--catalog-db", db])
     assert spark.table(f"{db}.review_prompts").count() == 3
-    assert spark.catalog.tableExists("int_transactions_enriched", db)
+    assert spark.catalog.tableExists(f"{db}.int_transactions_enriched")
