@@ -44,6 +44,8 @@ def main(argv=None) -> None:
     p.add_argument("--catalog-db", help="keep layers as catalog tables, bucketed by "
                                         "transaction_id (needs a metastore across runs)")
     p.add_argument("--buckets", type=int, default=64)
+    p.add_argument("--hour-mode", choices=["round", "floor"], default="round",
+                   help="round: hours 0..24 as the source SQL; floor: clock hours 0..23")
     a = p.parse_args(argv)
 
     from riskmart.operators import casenotes as cn
@@ -61,10 +63,11 @@ def main(argv=None) -> None:
     if a.command in ("load", "events"):
         if a.command == "load":
             txn, ident = staged_from_csv(spark, a.raw_dir)
-            layers = build_layers(store, txn, ident)
+            layers = build_layers(store, txn, ident, hour_mode=a.hour_mode)
         else:
             txn, _ = staged_from_events(spark, a.sf_dir)
-            layers = build_layers(store, txn, identity_from_transactions=events_to_identity)
+            layers = build_layers(store, txn, identity_from_transactions=events_to_identity,
+                                  hour_mode=a.hour_mode)
         _report(layers)
         return
     layers = Layers(store)
