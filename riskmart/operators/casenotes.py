@@ -63,13 +63,18 @@ def upsert_case_notes(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     Incoming rows replace the eight written columns; ``created_at`` of an
     existing row is kept (an upsert with a column list leaves unlisted
     columns alone), new rows get ``created_at`` of the incoming row or now.
-    When a key repeats in ``incoming``, its last attempt would win in a row
-    loop; keys here are unique per batch (one result per transaction).
+    The key stays unique: should ``incoming`` hold a key twice, one row wins
+    (latest ``created_at``, then the answer text), as one of two sequential
+    writes of the same key would.
     """
     old = existing.select(*NOTE_COLUMNS).alias("o")
-    new = incoming.select(*UPSERT_COLUMNS,
-                          (F.col("created_at") if "created_at" in incoming.columns
-                           else F.current_timestamp()).alias("created_at")).alias("n")
+    stamped = incoming.select(*UPSERT_COLUMNS,
+                              (F.col("created_at") if "created_at" in incoming.columns
+                               else F.current_timestamp()).alias("created_at"))
+    rest = [c for c in NOTE_COLUMNS if c != "transaction_id"]
+    new = (stamped.groupBy("transaction_id")
+           .agg(F.max_by(F.struct(*rest), F.struct("created_at", "raw_response")).alias("r"))
+           .select("transaction_id", "r.*").alias("n"))
     joined = old.join(new, F.col("o.transaction_id") == F.col("n.transaction_id"), "full_outer")
     has_new = F.col("n.transaction_id").isNotNull()
     cols = [F.when(has_new, F.col(f"n.{c}")).otherwise(F.col(f"o.{c}")).alias(c)

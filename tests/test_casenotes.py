@@ -71,3 +71,12 @@ def test_broadcast_only_below_the_row_bound(spark):
         return "broadcast" in d._jdf.queryExecution().analyzed().toString().lower()
     assert hinted(broadcast_if_small(df, max_rows=3))
     assert not hinted(broadcast_if_small(df, max_rows=2))
+
+
+def test_upsert_keeps_the_key_unique(spark):
+    rows = [_note("7", "low", 0.1), ("7", "high", "p", 0.9, "r", "decline", "n", "{b}")]
+    out = upsert_case_notes(empty_notes(spark), spark.createDataFrame(rows, SCHEMA)).collect()
+    # Same created_at (one batch), so the larger answer text wins: "{}" > "{b}".
+    assert len(out) == 1 and out[0]["raw_response"] == "{}"
+    again = upsert_case_notes(empty_notes(spark), spark.createDataFrame(rows, SCHEMA)).collect()
+    assert again[0]["risk_assessment"] == out[0]["risk_assessment"]      # deterministic
