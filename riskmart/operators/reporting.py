@@ -118,3 +118,41 @@ def deep_dive(base: DataFrame, transaction_ids) -> DataFrame:
             transaction_ids = [transaction_ids]
         picked = base.where(F.col("transaction_id").isin(list(transaction_ids)))
     return picked.select(*DEEP_DIVE_COLUMNS).distinct()
+
+
+# Worksheet dimensions for the one-pass refresh, in grouping order.
+_SHEET_DIMENSIONS = [("fraud_rate_by_hour", "hour_of_day"),
+                     ("fraud_rate_by_card_network", "card4"),
+                     ("fraud_rate_by_product", "product_cd"),
+                     ("fraud_rate_by_score_band", "score_band")]
+
+
+def worksheet_measures(base: DataFrame) -> DataFrame:
+    """Every worksheet's measures from one pass over the extract (grouping sets).
+
+    Rows: (worksheet, value, fraud_count, fraud_rate, amount_at_risk,
+    total_transactions); ``value`` is the dimension value as text, and the row
+    with worksheet ``kpi_overview`` is the grand total.  One scan and one
+    partial-aggregate shuffle replace one job per worksheet.
+    """
+    dims = [d for _, d in _SHEET_DIMENSIONS]
+    df = base.select(F.col("scoring_hour_of_day").cast("string").alias("hour_of_day"),
+                     "card4", "product_cd", score_band("risk_score").alias("score_band"),
+                     "is_fraud", "transaction_id", "transaction_amt")
+    sets = [[d] for d in dims] + [[]]
+    agg = df.groupingSets(sets, *dims).agg(
+        F.grouping_id().alias("__gid"),
+        _fraud_count().alias("fraud_count"),
+        fraud_rate_measure().alias("fraud_rate"),
+        F.sum(F.when(F.col("is_fraud") == F.lit(True), F.col("transaction_amt"))
+              .otherwise(F.lit(0.0))).alias("amount_at_risk"),
+        F.count("transaction_id").alias("total_transactions"))
+    full = (1 << len(dims)) - 1
+    sheet = F.when(F.col("__gid") == full, F.lit("kpi_overview"))
+    value = F.lit(None).cast("string")
+    for i, (name, dim) in enumerate(_SHEET_DIMENSIONS):
+        gid = full ^ (1 << (len(dims) - 1 - i))        # only this dimension grouped
+        sheet = sheet.when(F.col("__gid") == gid, F.lit(name))
+        value = F.when(F.col("__gid") == gid, F.col(dim)).otherwise(value)
+    return agg.select(sheet.alias("worksheet"), value.alias("value"), "fraud_count",
+                      "fraud_rate", "amount_at_risk", "total_transactions")

@@ -80,3 +80,29 @@ def test_upsert_keeps_the_key_unique(spark):
     assert len(out) == 1 and out[0]["raw_response"] == "{}"
     again = upsert_case_notes(empty_notes(spark), spark.createDataFrame(rows, SCHEMA)).collect()
     assert again[0]["risk_assessment"] == out[0]["risk_assessment"]      # deterministic
+
+
+def test_one_pass_worksheets_equal_the_single_sheets(spark):
+    import math
+
+    from riskmart.operators import reporting as rp
+    from riskmart.plans.queries import _base
+    from tests.conftest import SF001
+    base = _base(spark, SF001)
+    got = {(r["worksheet"], r["value"]): r for r in rp.worksheet_measures(base).collect()}
+    singles = {"fraud_rate_by_hour": (rp.fraud_rate_by_hour, "hour_of_day"),
+               "fraud_rate_by_card_network": (rp.fraud_rate_by_card_network, "card4"),
+               "fraud_rate_by_product": (rp.fraud_rate_by_product, "product_cd"),
+               "fraud_rate_by_score_band": (rp.fraud_rate_by_score_band, "score_band")}
+    n = 0
+    for sheet, (fn, dim) in singles.items():
+        for r in fn(base).collect():
+            v = None if r[dim] is None else str(r[dim])
+            assert got[(sheet, v)]["fraud_rate"] == r["fraud_rate"]
+            n += 1
+    k = rp.kpis(base).first()
+    total = got[("kpi_overview", None)]
+    assert total["fraud_count"] == k["fraud_count"]
+    assert total["total_transactions"] == k["total_transactions"]
+    assert math.isclose(total["amount_at_risk"], k["amount_at_risk"], rel_tol=1e-12)
+    assert len(got) == n + 1
