@@ -8,8 +8,11 @@ whole directories.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from riskmart.session import join_path
 
@@ -24,6 +27,7 @@ class LayerStore:
         # Frames over written tables, kept so repeated reads do not list files again.
         # This holds query plans only, never data; a rewrite replaces the entry.
         self._frames: dict[str, DataFrame] = {}
+        self._schemas: dict[str, StructType] = {}
 
     def path(self, name: str) -> str:
         return join_path(self.root, name)
@@ -37,18 +41,46 @@ class LayerStore:
             writer = writer.partitionBy(partition_by)
         writer.parquet(self.path(name))
         self._orders[name] = list(df.columns)
+        self._schemas[name] = df.schema
         self._frames.pop(name, None)
+        try:
+            self._frames[name] = self.spark.read.parquet(self.path(name))
+        except AnalysisException:
+            # An empty partitioned write leaves no data file to take the schema
+            # from; keep it in a small side file so other sessions can read it.
+            self._write_schema_file(name, df.schema)
         return self.read(name)
 
     def read(self, name: str, order: list[str] | None = None) -> DataFrame:
         df = self._frames.get(name)
         if df is None:
-            df = self._frames[name] = self.spark.read.parquet(self.path(name))
+            try:
+                df = self.spark.read.parquet(self.path(name))
+            except AnalysisException:
+                schema = self._schemas.get(name) or self._read_schema_file(name)
+                if schema is None:
+                    raise
+                df = self.spark.read.schema(schema).parquet(self.path(name))
+            self._frames[name] = df
         order = order or self._orders.get(name)
         if order and set(order) == set(df.columns):
             df = df.select(*[f"`{c}`" for c in order])
         return df
 
+    def _schema_path(self, name: str) -> str:
+        return join_path(self.root, f"_schema_{name}")
+
+    def _write_schema_file(self, name: str, schema: StructType) -> None:
+        (self.spark.createDataFrame([(schema.json(),)], "s string").coalesce(1)
+         .write.mode("overwrite").text(self._schema_path(name)))
+
+    def _read_schema_file(self, name: str) -> StructType | None:
+        try:
+            row = self.spark.read.text(self._schema_path(name)).first()
+        except AnalysisException:
+            return None
+        return StructType.fromJson(json.loads(row[0])) if row else None
+
     def exists(self, name: str) -> bool:
         """True when layer ``name`` was written completely (its commit marker exists)."""
         if name in self._frames:

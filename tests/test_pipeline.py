@@ -101,3 +101,21 @@ def test_floor_hour_mode_gives_clock_hours(spark, tmp_dir):
     r = layers.enriched.agg(F.min("hour_of_day"), F.max("hour_of_day"),
                             F.max("day_of_week")).first()
     assert r[0] >= 0 and r[1] <= 23 and r[2] <= 6
+
+
+def test_empty_input_builds_readable_layers(spark, tmp_dir):
+    from riskmart.operators import quality as qa
+    from riskmart.plans.pipeline import build_layers
+    from riskmart.schema import TRANSACTION_NULL_REPORT
+    from riskmart.sources.events import events_to_identity, events_to_transactions, read_events
+    from riskmart.sources.tables import LayerStore
+    ev = read_events(spark, SF0001).where("false")
+    layers = build_layers(LayerStore(spark, tmp_dir), events_to_transactions(ev),
+                          identity_from_transactions=events_to_identity)
+    assert layers.scoring.count() == 0 and layers.domain_mart.count() == 0
+    # Another store instance (as another session would) reads the empty partitioned layer.
+    fresh = LayerStore(spark, tmp_dir)
+    enriched = fresh.read("int_transactions_enriched")
+    assert "transaction_id" in enriched.columns and enriched.count() == 0
+    assert qa.train_fraud_rate(layers.stg_transactions).first()[0] == 0
+    assert qa.null_counts(layers.stg_transactions, TRANSACTION_NULL_REPORT).count() == 13
