@@ -133,7 +133,8 @@ def worksheet_measures(base: DataFrame) -> DataFrame:
     Rows: (worksheet, value, fraud_count, fraud_rate, amount_at_risk,
     total_transactions); ``value`` is the dimension value as text, and the row
     with worksheet ``kpi_overview`` is the grand total.  One scan and one
-    partial-aggregate shuffle replace one job per worksheet.
+    partial-aggregate shuffle replace one job per worksheet.  On an empty
+    extract grouping sets yield no rows; :func:`kpis` still gives its one row.
     """
     dims = [d for _, d in _SHEET_DIMENSIONS]
     df = base.select(F.col("scoring_hour_of_day").cast("string").alias("hour_of_day"),
