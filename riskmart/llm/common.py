@@ -95,6 +95,28 @@ def slices(batch: pa.RecordBatch, rows: int) -> Iterator[pa.RecordBatch]:
         yield batch.slice(at, rows)
 
 
+class Remembered(dict):
+    """A memory of two generations: past ``limit`` entries the older one goes, but what is used stays."""
+
+    def __init__(self, limit: int):
+        super().__init__()
+        self.limit, self.older = limit, {}
+
+    def __missing__(self, key):
+        self[key] = value = self.older[key]
+        return value
+
+    def make_room(self) -> None:
+        if len(self) > self.limit:
+            self.older = dict(self)
+            self.clear()
+
+    def unknown(self, texts: list[list[bytes]]) -> list[bytes]:
+        """The distinct words of ``texts`` that are not remembered."""
+        older = self.older
+        return [w for w in {w for ws in texts for w in ws if w not in self} if w not in older]
+
+
 class WordHashes(dict):
     """Bytes of a word -> unsigned 64-bit hash, remembered up to ``limit`` words."""
 

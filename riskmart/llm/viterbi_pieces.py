@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskmart.llm.common import mix, raw_texts, slices, whole_text
+from riskmart.llm.common import Remembered, mix, raw_texts, slices, whole_text
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0          # an unknown character scores this much below the worst piece
@@ -71,8 +71,7 @@ class Pieces:
         self.values = np.array([self.scores[texts[i]] for i in normal])[order]
         self.filter = np.zeros(1 << 20, bool)                 # low bits of the keys: most substrings end here
         self.filter[(keys & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
-        self.known: dict[bytes, bytes] = {}
-        self.limit = limit
+        self.known = Remembered(limit)
 
     @staticmethod
     def _key(text: str) -> int:
@@ -143,10 +142,9 @@ class Pieces:
         """Little-endian unsigned 32-bit ids of each text."""
         mark = MARK.encode()
         words = [_WORD.findall(b" " + t.replace(mark, b" ")) if t else [] for t in texts]
-        if len(self.known) > self.limit:
-            self.known.clear()
         known = self.known
-        self._learn(list({w for ws in words for w in ws if w not in known}))
+        known.make_room()
+        self._learn(known.unknown(words))
         return [b"".join(map(known.__getitem__, ws)) for ws in words]
 
     def decode(self, ids: bytes) -> bytes:

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import os
+from array import array
 from functools import lru_cache
 
-import numpy as np
+from riskmart.llm.common import Remembered
+
+_STEM_ENDS = frozenset(bytes([c]) for c in b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
 
 
 class WordwiseBpe:
@@ -13,27 +16,41 @@ class WordwiseBpe:
 
     Such a tokenizer drops white space and splits at it, so a text's ids are those
     of its white-space separated words in turn.  Only ASCII white space is split at;
-    a word holding other white space is passed to the library as it is.  Each
-    distinct word is encoded once per task (up to ``limit`` remembered words).
+    a word holding other white space is passed to the library as it is.  The tokenizer
+    lower-cases, so ASCII capitals need not be told apart, but for its special tokens;
+    a letter or digit and a full stop or comma after it are never one piece.  A
+    distinct word goes to the library once while it is remembered.
     """
 
     def __init__(self, path: str, limit: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        self.tokenizer, self.limit, self.known = Tokenizer.from_file(path), limit, {}
+        self.tokenizer, self.known = Tokenizer.from_file(path), Remembered(limit)
+
+    def _learn(self, words: list[bytes]) -> None:
+        for at in range(0, len(words), 20_000):
+            part = words[at: at + 20_000]
+            found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part],
+                                                     add_special_tokens=False)
+            for w, e in zip(part, found):
+                self.known[w] = array("I", e.ids).tobytes()
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        words = [t.split() for t in texts]
-        if len(self.known) > self.limit:
-            self.known.clear()
+        words = [(t if b"<|" in t else t.lower()).split() for t in texts]
+        self.known.make_room()
+        split, plain = {}, []
+        for w in self.known.unknown(words):
+            stem = w.rstrip(b".,")
+            if stem != w and stem[-1:] in _STEM_ENDS:
+                split[w] = (stem, w[len(stem):])
+            else:
+                plain.append(w)
+        self._learn(plain)
+        self._learn(self.known.unknown(list(split.values())))
         known = self.known
-        new = list({w for ws in words for w in ws if w not in known})
-        for at in range(0, len(new), 20_000):
-            part = new[at: at + 20_000]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part],
-                                                                   add_special_tokens=False)):
-                known[w] = np.array(e.ids, "<u4").tobytes()
+        for w, (stem, end) in split.items():
+            known[w] = known[stem] + known[end]
         return [b"".join(map(known.__getitem__, ws)) for ws in words]
 
 
