@@ -65,7 +65,7 @@ class Pieces:
         self.numbers = {texts[i]: i for i in normal}
         self.longest = max(map(len, self.scores))
         self.unknown = min(self.scores.values()) - UNKNOWN_PENALTY
-        keys = np.array([self._key(texts[i]) for i in normal], np.uint64)
+        keys = self._keys([texts[i] for i in normal])
         order = np.argsort(keys)
         self.keys, self.ids = keys[order], np.array(normal, np.int64)[order]
         self.values = np.array([self.scores[texts[i]] for i in normal])[order]
@@ -74,11 +74,16 @@ class Pieces:
         self.known = Remembered(limit)
 
     @staticmethod
-    def _key(text: str) -> int:
-        h = np.zeros(1, np.uint64)
-        for c in text:
-            h = _step(h, np.array([ord(c)], np.uint64))
-        return int(h[0])
+    def _keys(texts: list[str]) -> np.ndarray:
+        out, sizes = np.zeros(len(texts), np.uint64), np.array([len(t) for t in texts])
+        for size in np.unique(sizes):
+            at = np.flatnonzero(sizes == size)
+            chars = np.array([[ord(c) for c in texts[i]] for i in at], np.uint64)
+            h = np.zeros(len(at), np.uint64)
+            for k in range(size):
+                h = _step(h, chars[:, k])
+            out[at] = h
+        return out
 
     def _probe(self, h: np.ndarray) -> np.ndarray:
         """Position among the sorted keys, or -1."""
@@ -89,8 +94,8 @@ class Pieces:
         out[maybe] = np.where(self.keys[at] == wanted, at, -1)
         return out
 
-    def viterbi(self, chars: np.ndarray) -> list[np.ndarray]:
-        """Ids of words of one length; ``chars``: a row of code points for each word."""
+    def viterbi(self, chars: np.ndarray) -> list[bytes]:
+        """Little-endian ids of words of one length; ``chars``: a row of code points for each word."""
         words, length = chars.shape
         most = min(self.longest, length)
         # piece[:, j, l - 1]: the piece of l characters that ends before j
@@ -110,7 +115,6 @@ class Pieces:
             pick = total.argmax(1)
             best[:, most + j] = total[np.arange(words), pick]
             back[:, j] = most - pick
-        out: list[list] = [[] for _ in range(words)]
         at, row = np.full(words, length), np.arange(words)
         steps = []
         while len(row):
@@ -118,13 +122,21 @@ class Pieces:
             steps.append((row, piece[row, at, size - 1], at))
             at = at - size
             row, at = row[at > 0], at[at > 0]
-        for rows, found, ends in reversed(steps):
-            for r, p, e in zip(rows.tolist(), found.tolist(), ends.tolist()):
-                if p >= 0:
-                    out[r].append(self.ids[p])
-                else:
-                    out[r].extend(self.byte[b] for b in chr(chars[r, e - 1]).encode("utf-8", "replace"))
-        return [np.array(x, "<u4") for x in out]
+        rows, found, ends = (np.concatenate(x) for x in zip(*steps))
+        order = np.lexsort((ends, rows))
+        rows, found, ends = rows[order], found[order], ends[order]
+        # characters without a piece are spelled in bytes
+        spelled = {k: self.byte[list(chr(chars[rows[k], ends[k] - 1]).encode("utf-8", "replace"))]
+                   for k in np.flatnonzero(found < 0).tolist()}
+        count = np.ones(len(rows), np.int64)
+        for k, x in spelled.items():
+            count[k] = len(x)
+        ids, begin = np.repeat(self.ids[found], count), np.cumsum(count) - count
+        for k, x in spelled.items():
+            ids[begin[k]: begin[k] + len(x)] = x
+        data = ids.astype("<u4").tobytes()
+        cuts = 4 * np.concatenate([[0], np.cumsum(np.bincount(rows, weights=count, minlength=words))]).astype(np.int64)
+        return [data[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
 
     def _learn(self, words: list[bytes]) -> None:
         by_length = defaultdict(list)
@@ -136,7 +148,7 @@ class Pieces:
             for at in range(0, len(group), rows):
                 part = group[at: at + rows]
                 for (w, _), ids in zip(part, self.viterbi(np.stack([p for _, p in part]))):
-                    self.known[w] = ids.tobytes()
+                    self.known[w] = ids
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
