@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import os
 import tempfile
@@ -47,14 +48,19 @@ def new_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_root(spark)}/llm/{tag}-{uuid.uuid4().hex}"
 
 
-def stash(df: DataFrame, tag: str) -> DataFrame:
+def stash(df: DataFrame, tag: str, release: bool = True) -> DataFrame:
     """Write ``df`` to the shared folder and return it reread: lineage ends here.
 
-    A lost executor costs at most the tasks that read the files again.
+    A lost executor costs at most the tasks that read the files again.  The shuffle
+    files behind it are of no more use; Spark drops them once the driver has collected
+    their handles, so that is done now (``release``).
     """
-    path = new_path(df.sparkSession, tag)
+    spark, path = df.sparkSession, new_path(df.sparkSession, tag)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    if release:
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def whole_text(name: str = "text") -> Column:
@@ -180,7 +186,7 @@ def components(edges: DataFrame, tag: str = "components") -> DataFrame:
         # every node's smallest neighbour (or itself) takes the node's neighbours
         links = both(e) if larger else e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         low = links.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        low = stash(low, f"{tag}-low")
+        low = stash(low, f"{tag}-low", release=False)
         joined = links.join(low, "a")
         if larger:
             out = joined.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -192,7 +198,7 @@ def components(edges: DataFrame, tag: str = "components") -> DataFrame:
     now = stash(edges.where("a <> b").select("a", "b").distinct(), tag)
     seen = None
     while True:
-        now = stash(star(star(now, True), False), tag)
+        now = stash(star(star(now, True), False), tag, release=False)
         # both steps together keep the components; a star forest is a fixed point
         state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if seen is not None and tuple(state) == seen:

@@ -97,8 +97,9 @@ def _whole_sets(words_in_shingle: int):
         for batch in batches:
             sets = [shingle_set(hashes.of(data.lower().split()), words_in_shingle).view(np.int64)
                     for data in raw_texts(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.list_(pa.int64()))],
-                                             ["node", "tokens"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), batch.column("whole"), pa.array(sets, pa.list_(pa.int64()))],
+                ["node", "whole", "tokens"])
     return run
 
 
@@ -234,10 +235,11 @@ def _cells(percent: int):
     return run
 
 
-def _walk(rows: DataFrame, percent: int, tag: str) -> DataFrame:
-    """Links (a, b) of every cell of ``rows`` (cluster, cell, side, label, node, tokens), written."""
+def _walk(rows: DataFrame, sets: DataFrame, percent: int, tag: str) -> DataFrame:
+    """Links (a, b) of every cell of ``rows`` (cluster, cell, side, label, node), written."""
     key = ["cluster", "cell"]
-    return stash(rows.select(*key, "side", "label", "node", "tokens").repartition(*key).sortWithinPartitions(*key)
+    rows = rows.select(*key, "side", "label", "node").join(sets, "node")
+    return stash(rows.repartition(*key).sortWithinPartitions(*key)
                  .mapInArrow(_cells(percent), "a long, b long"), tag)
 
 
@@ -272,15 +274,18 @@ def classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     open_ = stash(open_.select("node", "n", "window", "doc_id", "text_hash",
                                (F.size("window") - F.col("common") < e + 1).alias("whole")), "open-nodes")
 
-    wanted = open_.select("node", F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
-    whole = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
-    whole = stash(whole.select("node", "text").mapInArrow(_whole_sets(s.words), "node long, tokens array<long>")
-                  .dropDuplicates(["node"]), "open-sets")
+    # a node's text is that of the row it is named after; rows that repeat id and text would double it
+    repeats = sets.groupBy("doc_id", "text_hash").agg(F.count("*").alias("c")).where("c > 1")
+    once = texts if repeats.isEmpty() else texts.dropDuplicates(["doc_id", "text_hash"])
+    wanted = open_.select("node", "whole", F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    whole = once.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
+    whole = stash(whole.select("node", "whole", "text").mapInArrow(
+        _whole_sets(s.words), "node long, whole boolean, tokens array<long>"), "open-sets")
 
     # clusters: nodes that share a shingle that is not common, or one of a whole set
     narrow = (open_.where("not whole").select("node", F.explode("window").alias("token"))
               .join(counts.where(F.col("c") >= s.common).select("token"), "token", "left_anti"))
-    wide = whole.join(open_.where("whole").select("node"), "node").select("node", F.explode("tokens").alias("token"))
+    wide = whole.where("whole").select("node", F.explode("tokens").alias("token"))
     meet = narrow.select("token", "node").unionByName(wide.select("token", "node"))
     firsts = stash(meet.groupBy("token").agg(F.min("node").alias("b"), F.count("*").alias("k")).where("k > 1")
                    .select("token", "b"), "cluster-firsts")
@@ -293,13 +298,14 @@ def classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     member = (cluster.join(sizes, "component_id").withColumnRenamed("id", "node")
               .select("node", F.col("component_id").alias("cluster"), "cells",
                       F.pmod(F.xxhash64("node"), F.col("cells")).alias("block")))
-    member = stash(member.join(whole, "node"), "cluster-members")
+    member = stash(member, "cluster-members")
+    whole = whole.drop("whole")
 
     links = _walk(member.withColumns({"cell": F.col("block").cast("string"), "side": F.lit(0), "label": F.col("node")}),
-                  percent, "links")
+                  whole, percent, "links")
     large = member.where("cells > 1")
     if not large.isEmpty():
-        links = stash(links.unionByName(_large_links(large, links, s)), "all-links")
+        links = stash(links.unionByName(_large_links(large, whole, links, s)), "all-links")
 
     joined = components(links, "near")
     named = (nodes.join(joined.withColumnRenamed("id", "node"), "node", "left")
@@ -312,7 +318,7 @@ def classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
                        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def _large_links(large: DataFrame, links: DataFrame, s: Settings) -> DataFrame:
+def _large_links(large: DataFrame, sets: DataFrame, links: DataFrame, s: Settings) -> DataFrame:
     """Links between the cells of clusters of several cells."""
     def labelled(found: DataFrame, tag: str) -> DataFrame:
         return stash(large.join(components(found, tag).withColumnRenamed("id", "node"), "node", "left")
@@ -324,7 +330,7 @@ def _large_links(large: DataFrame, links: DataFrame, s: Settings) -> DataFrame:
     count = heads.groupBy("cluster").agg(F.count("*").alias("heads"))
     heads = heads.join(count, "cluster").withColumn("cell", F.concat(
         F.lit("h"), F.pmod(F.xxhash64("node", F.lit(1)), F.ceil(F.col("heads") / s.cell_nodes))))
-    more = _walk(heads.withColumn("side", F.lit(0)), s.percent, "head-links")
+    more = _walk(heads.withColumn("side", F.lit(0)), sets, s.percent, "head-links")
 
     # every pair of cells of the clusters still in several components
     now = labelled(links.unionByName(more), "head-labels")
@@ -334,7 +340,7 @@ def _large_links(large: DataFrame, links: DataFrame, s: Settings) -> DataFrame:
     pairs = now.select("*", other).where("other <> block").withColumns({
         "side": (F.col("other") < F.col("block")).cast("int"),
         "cell": F.concat_ws("-", F.least("block", "other"), F.greatest("block", "other"))})
-    return more.unionByName(_walk(pairs, s.percent, "pair-links"))
+    return more.unionByName(_walk(pairs, sets, s.percent, "pair-links"))
 
 
 def one_of_each(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:

@@ -345,6 +345,7 @@ def removals(docs: DataFrame, group_segments: int = GROUP_SEGMENTS) -> DataFrame
              .withColumn("mask", F.when(order == F.col("first"), F.col("mask")).otherwise(F.lit(-1).cast("long")))
              .where("mask <> 0").groupBy(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"))
              .agg(F.collect_list(F.struct("start", "starts", "mask")).alias("flags")))
+    flags = stash(flags, "flags")
     done = texts.join(flags, (F.col("id") == F.col("_id")) & (F.col("text_hash") == F.col("_hash")), "left").select(
         "id", "text_hash", "text", "flags").mapInArrow(
         _remove, "id long, text_hash long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
