@@ -48,6 +48,11 @@ def new_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_root(spark)}/llm/{tag}-{uuid.uuid4().hex}"
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def stash(df: DataFrame, tag: str, release: bool = True) -> DataFrame:
     """Write ``df`` to the shared folder and return it reread: lineage ends here.
 
@@ -56,10 +61,11 @@ def stash(df: DataFrame, tag: str, release: bool = True) -> DataFrame:
     their handles, so that is done now (``release``).
     """
     spark, path = df.sparkSession, new_path(df.sparkSession, tag)
+    if release:
+        release_shuffles(spark)
     df.write.option("compression", "zstd").parquet(path)
     if release:
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
+        release_shuffles(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 

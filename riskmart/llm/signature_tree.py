@@ -7,10 +7,10 @@ their sets' Jaccard similarity reaches ``percent``; a component is what links co
    shingles are missing from a linked partner, so the e + l smallest hashes of both
    (their windows) share l shingles at least: a node with fewer window shingles that
    occur in other windows has no partner and is done.
-2. The other nodes fall into clusters that share window shingles.  Shingles in very
-   many windows are left out where a window still has e + 1 others; a node with too
-   many of them brings its whole set instead (the order "common ones last, then by
-   hash" is one order for all, so linked nodes still meet).
+2. Of the other nodes' whole sets, shingles are counted.  With the rarest first, linked
+   nodes share one of their first e + 1 shingles; a node whose first e + 1 are its own
+   is done as well.  The others fall into clusters that share such a shingle, so common
+   passages bring no one together.
 3. A cluster's nodes, in cells of bounded size, form a signature tree: a node of the
    tree has the OR of its members' token bitmaps, their size range, and the most
    tokens that share a bit with another of the same set.  Two trees (or one with
@@ -44,7 +44,6 @@ from riskmart.llm.common import (WordHashes, components, first_of_repeats, mix,
 class Settings:
     words: int = 5
     percent: int = 80
-    common: int = 64                 # windows that a shingle may be in before it counts as common
     cell_nodes: int = 1024
     cell_tokens: int = 4_000_000
     leaf: int = 1
@@ -97,9 +96,8 @@ def _whole_sets(words_in_shingle: int):
         for batch in batches:
             sets = [shingle_set(hashes.of(data.lower().split()), words_in_shingle).view(np.int64)
                     for data in raw_texts(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), batch.column("whole"), pa.array(sets, pa.list_(pa.int64()))],
-                ["node", "whole", "tokens"])
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.list_(pa.int64()))],
+                                             ["node", "tokens"])
     return run
 
 
@@ -264,34 +262,34 @@ def classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     counts = stash(tokens.groupBy("token").agg(F.count("*").alias("c")).where("c > 1"), "window-tokens")
 
     # nodes with enough window shingles that others have too
-    hits = tokens.join(counts, "token").groupBy("node").agg(
-        F.count("*").alias("hits"), F.sum((F.col("c") >= s.common).cast("int")).alias("common"))
+    hits = tokens.join(counts, "token").groupBy("node").agg(F.count("*").alias("hits"))
     partner = F.ceil(F.col("n") * percent / 100)                       # the smallest set it can link to
     partner_e = _missing(partner, percent)
     least = F.ceil(partner_e / 2) + (partner_e == 0).cast("int")
     open_ = single.join(hits, "node").where(F.col("hits") >= least)
-    e = _missing(F.col("n"), percent)
-    open_ = stash(open_.select("node", "n", "window", "doc_id", "text_hash",
-                               (F.size("window") - F.col("common") < e + 1).alias("whole")), "open-nodes")
+    open_ = stash(open_.select("node", "doc_id", "text_hash"), "open-nodes")
 
     # a node's text is that of the row it is named after; rows that repeat id and text would double it
     repeats = sets.groupBy("doc_id", "text_hash").agg(F.count("*").alias("c")).where("c > 1")
     once = texts if repeats.isEmpty() else texts.dropDuplicates(["doc_id", "text_hash"])
-    wanted = open_.select("node", "whole", F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    wanted = open_.select("node", F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
     whole = once.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
-    whole = stash(whole.select("node", "whole", "text").mapInArrow(
-        _whole_sets(s.words), "node long, whole boolean, tokens array<long>"), "open-sets")
-
-    # clusters: nodes that share a shingle that is not common, or one of a whole set
-    narrow = (open_.where("not whole").select("node", F.explode("window").alias("token"))
-              .join(counts.where(F.col("c") >= s.common).select("token"), "token", "left_anti"))
-    wide = whole.where("whole").select("node", F.explode("tokens").alias("token"))
-    meet = narrow.select("token", "node").unionByName(wide.select("token", "node"))
+    whole = stash(whole.select("node", "text").mapInArrow(_whole_sets(s.words), "node long, tokens array<long>"),
+                  "open-sets")
+
+    # clusters: nodes that share one of their rarest shingles
+    tokens = whole.select("node", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
+    counts = stash(tokens.groupBy("token").agg(F.count("*").alias("c")).where("c > 1"), "open-tokens")
+    known = tokens.join(counts, "token").groupBy("node", "n").agg(
+        F.sort_array(F.collect_list(F.struct("c", "token"))).alias("known"))
+    first = _missing(F.col("n"), percent) + 1 - (F.col("n") - F.size("known"))        # of e + 1, less its own
+    meet = stash(known.where(first > 0).select("node", "n", F.explode(F.slice(
+        "known", F.lit(1), first.cast("int"))).alias("k")).select("node", "n", "k.token"), "rarest-tokens")
     firsts = stash(meet.groupBy("token").agg(F.min("node").alias("b"), F.count("*").alias("k")).where("k > 1")
                    .select("token", "b"), "cluster-firsts")
     cluster = stash(components(meet.join(firsts, "token").select(F.col("node").alias("a"), "b").where("a <> b")
                                .distinct(), "clusters"), "clusters")
-    sizes = cluster.join(open_.select(F.col("node").alias("id"), "n"), "id").groupBy("component_id").agg(
+    sizes = cluster.join(meet.select(F.col("node").alias("id"), "n").distinct(), "id").groupBy("component_id").agg(
         F.count("*").alias("members"), F.sum("n").alias("held"))
     sizes = stash(sizes.withColumn("cells", F.greatest(F.ceil(F.col("members") / s.cell_nodes),
                                                        F.ceil(F.col("held") / s.cell_tokens)).cast("long")), "cluster-sizes")
@@ -299,7 +297,6 @@ def classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
               .select("node", F.col("component_id").alias("cluster"), "cells",
                       F.pmod(F.xxhash64("node"), F.col("cells")).alias("block")))
     member = stash(member, "cluster-members")
-    whole = whole.drop("whole")
 
     links = _walk(member.withColumns({"cell": F.col("block").cast("string"), "side": F.lit(0), "label": F.col("node")}),
                   whole, percent, "links")

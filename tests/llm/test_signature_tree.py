@@ -31,8 +31,8 @@ def corpus(seed: int, count: int = 60) -> list[tuple]:
 
 
 @pytest.mark.parametrize("settings", [
-    m.Settings(words=3, percent=90), m.Settings(words=5, percent=80), m.Settings(words=3, percent=80, common=3),
-    m.Settings(words=2, percent=60, common=2, cell_nodes=4)])
+    m.Settings(words=3, percent=90), m.Settings(words=5, percent=80), m.Settings(words=3, percent=70),
+    m.Settings(words=2, percent=60, cell_nodes=4)])
 def test_like_all_pairs(spark, settings):
     rows = corpus(settings.percent + settings.words)
     docs = spark.createDataFrame([(i, t, "en", 7, "x") for i, t in rows], SCHEMA)
