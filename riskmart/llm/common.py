@@ -66,7 +66,17 @@ def stash(df: DataFrame, tag: str, release: bool = True) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     if release:
         release_shuffles(spark)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stash_path = path
+    return out
+
+
+def discard(*written: DataFrame) -> None:
+    """Delete stashed tables that nothing reads any more: later steps read later tables."""
+    for df in written:
+        sc = df.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(df.stash_path)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def whole_text(name: str = "text") -> Column:

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskmart.llm.common import (WordHashes, components, first_of_repeats, mix, raw_texts, shingle_set, stash,
+from riskmart.llm.common import (WordHashes, components, discard, first_of_repeats, mix, raw_texts, shingle_set, stash,
                                  whole_text)
 
 
@@ -262,7 +262,7 @@ def classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     counts = stash(tokens.groupBy("token").agg(F.count("*").alias("c")).where("c > 1"), "window-tokens")
 
     # nodes with enough window shingles that others have too
-    hits = tokens.join(counts, "token").groupBy("node").agg(F.count("*").alias("hits"))
+    hits = tokens.join(counts.hint("merge"), "token").groupBy("node").agg(F.count("*").alias("hits"))
     partner = F.ceil(F.col("n") * percent / 100)                       # the smallest set it can link to
     partner_e = _missing(partner, percent)
     least = F.ceil(partner_e / 2) + (partner_e == 0).cast("int")
@@ -273,14 +273,14 @@ def classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     repeats = sets.groupBy("doc_id", "text_hash").agg(F.count("*").alias("c")).where("c > 1")
     once = texts if repeats.isEmpty() else texts.dropDuplicates(["doc_id", "text_hash"])
     wanted = open_.select("node", F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
-    whole = once.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
+    whole = once.join(wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
     whole = stash(whole.select("node", "text").mapInArrow(_whole_sets(s.words), "node long, tokens array<long>"),
                   "open-sets")
 
     # clusters: nodes that share one of their rarest shingles
     tokens = whole.select("node", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
     counts = stash(tokens.groupBy("token").agg(F.count("*").alias("c")).where("c > 1"), "open-tokens")
-    known = tokens.join(counts, "token").groupBy("node", "n").agg(
+    known = tokens.join(counts.hint("merge"), "token").groupBy("node", "n").agg(
         F.sort_array(F.collect_list(F.struct("c", "token"))).alias("known"))
     first = _missing(F.col("n"), percent) + 1 - (F.col("n") - F.size("known"))        # of e + 1, less its own
     meet = stash(known.where(first > 0).select("node", "n", F.explode(F.slice(
@@ -304,6 +304,7 @@ def classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     if not large.isEmpty():
         links = stash(links.unionByName(_large_links(large, whole, links, s)), "all-links")
 
+    discard(counts, open_, meet, firsts, whole)
     joined = components(links, "near")
     named = (nodes.join(joined.withColumnRenamed("id", "node"), "node", "left")
              .withColumn("class", F.coalesce("component_id", "node")))

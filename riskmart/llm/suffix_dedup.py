@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskmart.llm.common import mix, raw_texts, stash, whole_text
+from riskmart.llm.common import discard, mix, raw_texts, stash, whole_text
 
 LENGTH, GRAM, STARTS = 100, 37, 64          # a string has 64 places for a gram of 37 bytes
 BITMAP_BITS = 26
@@ -346,6 +346,7 @@ def removals(docs: DataFrame, group_segments: int = GROUP_SEGMENTS) -> DataFrame
              .where("mask <> 0").groupBy(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"))
              .agg(F.collect_list(F.struct("start", "starts", "mask")).alias("flags")))
     flags = stash(flags, "flags")
+    discard(shared, found, segments, several, needed, contents, told)
     done = texts.join(flags, (F.col("id") == F.col("_id")) & (F.col("text_hash") == F.col("_hash")), "left").select(
         "id", "text_hash", "text", "flags").mapInArrow(
         _remove, "id long, text_hash long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
