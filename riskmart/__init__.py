@@ -7,7 +7,6 @@ Layers (each a plain ``DataFrame -> DataFrame`` function):
 * ``operators``  - staging, quality, enrichment, marts, scoring, investigation,
                    case notes, reporting
 * ``plans``      - the layer pipeline, the batch investigation plan, the query catalog
-* ``streaming``  - the case-note sink fed by an answer stream
 """
 
 __version__ = "0.1.0"

@@ -54,7 +54,7 @@ def main(argv=None) -> None:
     from riskmart.sources.events import events_to_identity, staged_from_events
     from riskmart.plans.pipeline import Layers
     from riskmart.sources.tables import CatalogLayerStore, LayerStore
-    from riskmart.streaming.casenotes import NoteTable
+    from riskmart.sources.notes import NoteTable
 
     spark = build_session(a.master)
     layers_root = join_path(a.work, "layers")
@@ -78,9 +78,8 @@ def main(argv=None) -> None:
     elif a.command == "notes":
         cands = store.read("review_candidates")
         notes = NoteTable(spark, join_path(a.work, "case_notes"))
-        version = notes.next_version()
         out = review_outcome(cands, spark.read.parquet(a.answers), notes.latest())
-        notes.write_version(version, out.notes)              # upsert = a new version
+        notes.write_next(out.notes)                          # upsert = a new version
         out.summary.show(truncate=False)
         cn.label_counts(out.results, "risk_assessment").show()
         cn.label_counts(out.results, "recommended_action").show()

@@ -1,87 +1,82 @@
 """Staging: raw transaction / identity rows -> typed, split-tagged tables.
 
-Raw files arrive with text columns named as in their header.  Each frame gets
-a ``split`` literal, the label as boolean (typed NULL where absent), lower-case
-e-mail domains, failure-tolerant numeric casts and snake-case names; train and
-test are then unioned by name (no dedup).  Unknown extra columns pass through.
+Raw files arrive with text columns named as in their header.  One projection serves
+both inputs: a rule table says how each staged column is made from its raw text, the
+``split`` literal and (for transactions) the label come first, and unknown extra
+columns pass through as text.  Train and test are then unioned by name (no dedup).
+
+Empty text is NULL.  Key, label, time and amount are strict: text that cannot be read
+as their type fails the load with the value in the message.  Other typed columns are
+tolerant: such text becomes NULL.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from riskmart.functions.columns import normalize_col
+from riskmart.functions.columns import staged_names
 from riskmart.schema import CARD_INT_COLUMNS, EMAIL_COLUMNS, IDENTITY_TYPES, TRANSACTION_TYPES
 from riskmart.sources.conform import conform
 
 LABEL_COLUMN = "isFraud"
+STRICT = {"transaction_id", "transaction_dt", "transaction_amt", "is_fraud"}
+
+# SQL text of a staged column from its raw text {c} (one call into the JVM for hundreds of columns)
+_WHOLE = "coalesce(try_cast({c} AS {t}), try_cast(rint(try_cast({c} AS DOUBLE)) AS {t}))"
+_RULES = {
+    "email": "lower({c})",
+    "string": "{c}",
+    "int": _WHOLE,                       # "404.0" -> 404 through a double
+    "bigint": _WHOLE,
+    # "1", "1.0", "true", "True"
+    "boolean": "coalesce(try_cast({c} AS BOOLEAN), try_cast({c} AS DOUBLE) <> 0)",
+}
+_PLAIN = "try_cast({c} AS {t})"
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
-def _q(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
+def _column(raw: str, name: str, kind: str) -> str:
+    c = f"nullif(CAST({_quoted(raw)} AS STRING), '')"
+    value = _RULES.get(kind, _PLAIN).format(c=c, t=kind)
+    if name in STRICT:
+        bad = f"raise_error(concat('{name} holds ', {c}))"
+        value = f"CASE WHEN {c} IS NOT NULL AND ({value}) IS NULL THEN {bad} ELSE {value} END"
+    return f"{value} AS {_quoted(name)}"
+
 
+def _staged(raw: DataFrame, split: str, types: dict[str, str], special: dict[str, str],
+            *first: str) -> DataFrame:
+    """One raw file as staged columns; ``special``: kinds of raw columns that go before their type."""
+    names = staged_names(raw.columns)
+    kinds = {c: special.get(c) or types.get(names[c]) or "string" for c in raw.columns}
+    return raw.selectExpr(f"'{split}' AS split", *first, *(_column(c, names[c], kinds[c]) for c in raw.columns
+                                                   if c != LABEL_COLUMN))
 
-def _text(raw_name: str) -> str:
-    # Empty text is NULL (quoted or not), as in the source loader.
-    return f"nullif(CAST({_q(raw_name)} AS STRING), '')"
-
-
-def _typed(raw_name: str, target: str | None) -> str:
-    c = _text(raw_name)
-    if target is None or target == "string":
-        return c
-    if target in ("int", "bigint"):
-        # Integer text exactly; "404.0" -> 404 through a double; unparsable text -> NULL.
-        return (f"coalesce(try_cast({c} AS {target}), "
-                f"try_cast(rint(try_cast({c} AS DOUBLE)) AS {target}))")
-    return f"try_cast({c} AS {target})"
-
-
-def select_transactions(raw: DataFrame, split: str, has_label: bool) -> DataFrame:
-    """One raw transaction file as staged columns (header-driven pass-through select).
-
-    The select list is SQL text (one call into the JVM for hundreds of columns).
-    """
-    exprs = [f"'{split}' AS split"]
-    if has_label and LABEL_COLUMN in raw.columns:
-        exprs.append(f"try_cast({_text(LABEL_COLUMN)} AS BIGINT) <> 0 AS is_fraud")
-    else:
-        exprs.append("CAST(NULL AS BOOLEAN) AS is_fraud")
-    for name in raw.columns:
-        if name == LABEL_COLUMN:
-            continue
-        snake = _q(normalize_col(name))
-        if name in EMAIL_COLUMNS:
-            exprs.append(f"lower({_text(name)}) AS {snake}")
-        elif name in CARD_INT_COLUMNS:
-            exprs.append(f"{_typed(name, 'int')} AS {snake}")
-        else:
-            exprs.append(f"{_typed(name, TRANSACTION_TYPES.get(normalize_col(name)))} AS {snake}")
-    return raw.selectExpr(*exprs)
-
-
-def select_identity(raw: DataFrame, split: str) -> DataFrame:
-    """One raw identity file as staged columns (``id-01`` -> ``id_01``)."""
-    exprs = [f"'{split}' AS split"]
-    for name in raw.columns:
-        snake = normalize_col(name)
-        exprs.append(f"{_typed(name, IDENTITY_TYPES.get(snake))} AS {_q(snake)}")
-    return raw.selectExpr(*exprs)
+
+def _transactions(raw: DataFrame, split: str, has_label: bool) -> DataFrame:
+    special = dict.fromkeys(EMAIL_COLUMNS, "email") | dict.fromkeys(CARD_INT_COLUMNS, "int")
+    label = (_column(LABEL_COLUMN, "is_fraud", "boolean") if has_label and LABEL_COLUMN in raw.columns
+             else "CAST(NULL AS BOOLEAN) AS is_fraud")
+    return _staged(raw, split, TRANSACTION_TYPES, special, label)
+
+
+def _union(parts: list[DataFrame], types: dict[str, str]) -> DataFrame:
+    out, *more = (conform(p, types) for p in parts)
+    for p in more:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out
 
 
 def stage_transactions(train_raw: DataFrame, test_raw: DataFrame | None = None) -> DataFrame:
     """``stg_transactions``: train (labelled) and test (label NULL) in one table."""
-    out = conform(select_transactions(train_raw, "train", has_label=True), TRANSACTION_TYPES)
-    if test_raw is not None:
-        test = conform(select_transactions(test_raw, "test", has_label=False), TRANSACTION_TYPES)
-        out = out.unionByName(test, allowMissingColumns=True)
-    return out
+    test = [] if test_raw is None else [_transactions(test_raw, "test", False)]
+    return _union([_transactions(train_raw, "train", True), *test], TRANSACTION_TYPES)
 
 
 def stage_identity(train_raw: DataFrame, test_raw: DataFrame | None = None) -> DataFrame:
     """``stg_identity``: train and test identity rows in one table."""
-    out = conform(select_identity(train_raw, "train"), IDENTITY_TYPES)
-    if test_raw is not None:
-        out = out.unionByName(conform(select_identity(test_raw, "test"), IDENTITY_TYPES),
-                              allowMissingColumns=True)
-    return out
+    test = [] if test_raw is None else [_staged(test_raw, "test", IDENTITY_TYPES, {})]
+    return _union([_staged(train_raw, "train", IDENTITY_TYPES, {}), *test], IDENTITY_TYPES)

@@ -1,7 +1,8 @@
 """Query catalog: every registered query as ``fn(spark, sf_dir) -> DataFrame``.
 
 Queries read the pipeline's written layers.  The layers of one input folder
-are built once per code version and shared folder, then reused by every query.
+are built once per code version, shared folder and state of the input's files, then
+reused by every query.
 
 One application builds a given folder at a time (a lock guards threads of one
 driver).  Two applications that may start the same build at the same moment
@@ -23,7 +24,7 @@ from riskmart.session import join_path, shared_dir
 from riskmart.sources.events import events_to_identity, staged_from_events
 
 _LOCK = threading.Lock()
-_BUILT: dict[tuple[str, str], Layers] = {}
+_BUILT: dict[tuple[str, str, str], Layers] = {}
 
 
 def _code_version() -> str:
@@ -38,6 +39,15 @@ def _code_version() -> str:
 CODE_VERSION = _code_version()
 
 
+def _input_state(spark: SparkSession, sf_dir: str) -> str:
+    """Names, sizes and times of the input's files: a changed input gets layers of its own."""
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/events.parquet")
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    return ",".join(sorted(f"{f.getPath().getName()}:{f.getLen()}:{f.getModificationTime()}"
+                           for f in fs.listStatus(path)))
+
+
 def layers_for(spark: SparkSession, sf_dir: str) -> Layers:
     """Written layers for the driver tables in ``sf_dir`` (built on first use).
 
@@ -47,12 +57,14 @@ def layers_for(spark: SparkSession, sf_dir: str) -> Layers:
     """
     sf_dir = sf_dir.rstrip("/")
     base = shared_dir(spark)
-    key = (base, sf_dir)
+    state = _input_state(spark, sf_dir)
+    key = (base, sf_dir, state)
     with _LOCK:
         layers = _BUILT.get(key)
         if layers is not None and layers.store.spark is spark:
             return layers
-        slug = hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:10]
+        place = sf_dir if "://" in sf_dir else os.path.abspath(sf_dir)
+        slug = hashlib.sha1(f"{place} {state}".encode()).hexdigest()[:10]
         root = join_path(base, "riskmart-layers", f"{slug}-{CODE_VERSION}")
         layers = open_layers(spark, root)
         if not layers.complete():

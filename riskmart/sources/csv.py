@@ -1,8 +1,8 @@
 """Raw CSV files in and dashboard CSV files out.
 
 Raw files are read with every column as text (header names kept) and typed in
-staging with failure-tolerant casts, so a stray value becomes NULL instead of
-failing the job.  No ``multiLine``: raw files stay splittable across tasks.
+staging.  Fields beyond the header's are cut.  No ``multiLine``: raw files stay
+splittable across tasks.
 """
 
 from __future__ import annotations
@@ -12,10 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from riskmart.schema import CASE_NOTE_TYPES, ddl
 
 RAW_OPTIONS = {"header": "true", "escape": '"', "mode": "PERMISSIVE"}
-# Written text can hold line breaks and quotes; quote-escaping plus multiLine on
-# the read side makes the round trip exact.
-EXPORT_OPTIONS = {"header": "true", "escape": '"', "quoteAll": "false"}
-IMPORT_OPTIONS = {"header": "true", "escape": '"', "multiLine": "true"}
+# Written text can hold line breaks, quotes and blanks at its edges: everything is
+# quoted, blanks stay, NULL has a marker of its own (empty text is ""), and times keep
+# their microseconds.
+_EXACT = {"header": "true", "escape": '"', "nullValue": "\\N", "emptyValue": "", "lineSep": "\n",
+          "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+          "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS[XXX]"}
+EXPORT_OPTIONS = {**_EXACT, "quoteAll": "true", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+IMPORT_OPTIONS = {**_EXACT, "multiLine": "true"}
 
 
 def read_header(spark: SparkSession, path: str) -> list[str]:

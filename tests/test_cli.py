@@ -4,7 +4,7 @@ import os
 
 from riskmart.__main__ import main
 from riskmart.plans.fixtures import answers_for
-from riskmart.streaming.casenotes import NoteTable
+from riskmart.sources.notes import NoteTable
 from tests.conftest import SF0001
 
 
