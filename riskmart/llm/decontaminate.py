@@ -3,7 +3,7 @@
 Every text is searched for the word n-grams of the test items; stretches around hits
 are kept with their words.  Over all documents, the document frequency of each
 n-gram is counted, and of every ``spread`` neighbouring n-grams of an item the rarest
-becomes a seed, so any copied run of ``n + spread - 1`` words holds one however often
+that occurs becomes a seed, so any copied run of ``n + spread - 1`` words holds one however often
 it leaked.  Stretches with a seed are aligned with the seed's items; a pair whose
 score reaches ``share`` of the item's best score, or that of ``enough`` words, counts.
 
@@ -35,7 +35,7 @@ MATCH, MISMATCH, GAP = 2, -1, 1
 @dataclass(frozen=True)
 class Settings:
     n: int = 4
-    spread: int = 4
+    spread: int = 2
     share: float = 0.5
     enough: int = 25
     block_words: int = 1_000_000
@@ -91,7 +91,7 @@ class Items:
         """(n-gram number, item) of the rarest n-gram of every ``spread`` neighbours of an item."""
         number = np.searchsorted(self.keys, self.gram)
         rank = np.empty(len(self.keys), np.int64)
-        rank[np.lexsort((self.keys, frequency))] = np.arange(len(self.keys))
+        rank[np.lexsort((self.keys, frequency, frequency == 0))] = np.arange(len(self.keys))    # of those that occur
         found = set()
         bounds = np.searchsorted(self.item, np.arange(len(self.words) + 1))
         for item, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])):

@@ -96,9 +96,12 @@ def pair_counts(words: DataFrame) -> DataFrame:
 def ratio_table(random: dict[str, int], ordinary: dict[str, int], settings: Settings) -> list[float]:
     """log P(next | before) under the random minus under the ordinary model, before-major over ALPHABET."""
     def logs(counts: dict[str, int], weight: float) -> list[float]:
+        # a rare character before falls back on how common the next one is at all
+        single = {b: sum(counts.get(a + b, 0) for a in ALPHABET) + weight / len(ALPHABET) for b in ALPHABET}
+        every = sum(single.values())
         out = []
         for a in ALPHABET:
-            row = [counts.get(a + b, 0) + weight / len(ALPHABET) for b in ALPHABET]
+            row = [counts.get(a + b, 0) + weight * single[b] / every for b in ALPHABET]
             total = sum(row)
             out.extend(math.log(x / total) for x in row)
         return out
