@@ -190,9 +190,11 @@ def shingle_set(words: np.ndarray, n: int) -> np.ndarray:
 def components(edges: DataFrame, tag: str = "components") -> DataFrame:
     """Smallest reachable id for every id that occurs in ``edges`` (columns a, b).
 
-    Alternates large-star and small-star steps; every step is one shuffle with
-    map-side minima, and every round is written to the shared folder.  A node of
-    very many links is a group with a plain ``min``, never a collected list.
+    Alternates large-star and small-star steps until the edges are stars around the
+    smallest ids, which one grouping tells; edges that are stars already take no step.
+    Every step is one shuffle with map-side minima, and every round is written to the
+    shared folder.  A node of very many links is a group with a plain ``min``, never a
+    collected list.
     Returns (id, component_id).
     """
     def both(e: DataFrame) -> DataFrame:
@@ -211,14 +213,16 @@ def components(edges: DataFrame, tag: str = "components") -> DataFrame:
                 low.select("a", F.col("m").alias("b")))
         return out.where("a <> b").distinct()
 
-    now = stash(edges.where("a <> b").select("a", "b").distinct(), tag)
-    seen = None
-    while True:
+    def is_stars(e: DataFrame) -> bool:
+        # no id has two smaller neighbours, or a smaller and a larger one
+        ends = e.select(F.col("a").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+            e.select(F.col("b").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+        ends = ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+        return not ends.where("up > 1 or up + down > 1").agg(F.count("*")).first()[0]
+
+    now = stash(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
+                tag)
+    while not is_stars(now):
         now = stash(star(star(now, True), False), tag, release=False)
-        # both steps together keep the components; a star forest is a fixed point
-        state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if seen is not None and tuple(state) == seen:
-            break
-        seen = tuple(state)
     return now.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("component_id")).union(
         now.select(F.col("b").alias("id"), F.col("b").alias("component_id")).distinct())

@@ -211,12 +211,23 @@ def cell_links(nodes: list[int], sides: list[int], labels: list[int], sets: list
     return out
 
 
+def stars(links: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """(node, smallest node) of what ``links`` connect: edges that need few steps to become components."""
+    ids = sorted({x for pair in links for x in pair})
+    place = {x: i for i, x in enumerate(ids)}
+    forest = Forest(ids)
+    for a, b in links:
+        low, high = sorted((forest.root(place[a]), forest.root(place[b])))
+        forest.parent[high] = low
+    return [(x, ids[forest.root(i)]) for i, x in enumerate(ids) if forest.root(i) != i]
+
+
 def _cells(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, ([], [], [], [])
 
         def links() -> pa.RecordBatch:
-            found = cell_links(*held, percent) if len(held[0]) > 1 else []
+            found = stars(cell_links(*held, percent)) if len(held[0]) > 1 else []
             return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
         for batch in batches:
