@@ -16,9 +16,12 @@ from riskmart.operators.marts import ordered_domain_mart
 from riskmart.plans.batch import write_report_base
 from riskmart.plans.catalog import QueryFn, layers_for
 from riskmart.plans.fixtures import answers_for
-from riskmart.plans.pipeline import layer_row_counts
+from riskmart.plans.pipeline import RAW_FILES, build_layers, layer_row_counts, open_layers, staged_from_csv
 from riskmart.schema import IDENTITY_NULL_REPORT, TRANSACTION_NULL_REPORT
+from riskmart.session import join_path
 from riskmart.sources.csv import CASE_NOTE_SCHEMA, export_csv, import_csv
+from riskmart.sources.events import staged_from_events
+from riskmart.sources.raw_files import raw_files, write_raw
 
 BATCH_SIZE = 20          # one review batch, as the source's showcase run
 HISTORY_ROWS = 10
@@ -298,3 +301,41 @@ def csv_round_trip(spark, sf_dir):
     path = store.path("exports/case_notes_csv")
     export_csv(_notes(spark, sf_dir), path)
     return import_csv(spark, path, CASE_NOTE_SCHEMA).drop("created_at")
+
+
+# ---------------------------------------------------------------------------
+# Raw CSV files: the load as a user runs it
+# ---------------------------------------------------------------------------
+
+
+def _csv_layers(spark, sf_dir):
+    """Layers built from four raw CSV files of the events (written next to the other layers, once)."""
+    store = layers_for(spark, sf_dir).store
+    layers = open_layers(spark, store.path("csv-layers"))
+    with _ONCE_LOCK:
+        if not layers.complete():
+            raw_dir = store.path("raw-csv")
+            for key, df in raw_files(*staged_from_events(spark, sf_dir)).items():
+                write_raw(df, join_path(raw_dir, RAW_FILES[key]))
+            layers = build_layers(layers.store, *staged_from_csv(spark, raw_dir))
+    return layers
+
+
+@query("csv_stg_transactions")
+def csv_stg_transactions(spark, sf_dir):
+    return _csv_layers(spark, sf_dir).table("stg_transactions")
+
+
+@query("csv_stg_identity")
+def csv_stg_identity(spark, sf_dir):
+    return _csv_layers(spark, sf_dir).table("stg_identity")
+
+
+@query("csv_scoring_validation")
+def csv_scoring_validation(spark, sf_dir):
+    return sc.scoring_validation(_csv_layers(spark, sf_dir).scoring)
+
+
+@query("csv_null_rates_transactions")
+def csv_null_rates_transactions(spark, sf_dir):
+    return qa.null_rates(_csv_layers(spark, sf_dir).table("stg_transactions"), TRANSACTION_NULL_REPORT)
