@@ -10,6 +10,16 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 100_000
 
 
+def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
+    """Whether a count proves that ``df`` has at most ``max_rows`` rows."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_when(small: bool, df: DataFrame) -> DataFrame:
+    """Mark ``df`` for broadcast where its rows are known to be few; else leave it to a shuffle join."""
+    return F.broadcast(df) if small else df
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Mark ``df`` for broadcast if a count proves it small; else leave it to a shuffle join.
 
@@ -18,9 +28,4 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     returned and Spark plans a sort-merge join, which adaptive execution can
     still turn into a broadcast at run time or split when a key is skewed.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
-def broadcast_bounded(df: DataFrame) -> DataFrame:
-    """Broadcast a side whose row count is bounded by construction (a top-N list)."""
-    return F.broadcast(df)
+    return broadcast_when(is_small(df, max_rows), df)

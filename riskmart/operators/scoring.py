@@ -22,16 +22,17 @@ def high_risk_domains(domain_mart: DataFrame, rate_over: float = 10.0) -> DataFr
 
 def score(enriched: DataFrame, domain_mart: DataFrame, *, c1_over: float = 3,
           amount_factor: float = 3, hours: tuple[int, int] = (1, 5),
-          rate_over: float = 10.0, points: int = 25) -> DataFrame:
+          rate_over: float = 10.0, points: int = 25, averages: DataFrame | None = None) -> DataFrame:
     """``rule_based_scoring``.
 
-    * card average: partial aggregate, then a left join back on ``card1``.  The
-      aggregate has one row per card; adaptive execution broadcasts it when it
-      turns out small and splits a hot card's partition when it does not.
+    * card average: a left join on ``card1`` with ``averages`` (``card_average`` when
+      not given).  Given as a written table, both sides of the join are plain shuffles,
+      so adaptive execution splits a hot card's (or NULL's) partition; an aggregate
+      planned in place sits between its shuffle and the join and rules that out.
     * risky domains: a membership test (NULL domain never matches), done as a
       left join against the few risky domains, broadcast behind a row check.
     """
-    avg = card_average(enriched)
+    avg = card_average(enriched) if averages is None else averages
     risky = high_risk_domains(domain_mart, rate_over).where(F.col("domain").isNotNull())
     risky = broadcast_if_small(risky.withColumn("_risky", F.lit(1)))
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from riskmart.operators.enrich import enrich
 from riskmart.operators.marts import email_domain_mart, fraud_fact
-from riskmart.operators.scoring import score
+from riskmart.operators.scoring import card_average, score
 from riskmart.operators.staging import stage_identity, stage_transactions
 from riskmart.schema import (
     CASE_NOTE_TYPES, ENRICHED_COLUMNS, FACT_COLUMNS, IDENTITY_TYPES, SCORING_COLUMNS,
@@ -95,7 +95,8 @@ def build_layers(store: LayerStore, stg_transactions: DataFrame, stg_identity=No
                            partition["int_transactions_enriched"])
     fact = store.write("fct_fraud_analysis", fraud_fact(enriched))
     mart = store.write("agg_fraud_by_email_domain", email_domain_mart(fact, min_rows))
-    store.write("rule_based_scoring", score(enriched, mart, **score_args),
+    averages = store.write("card_average", card_average(enriched))
+    store.write("rule_based_scoring", score(enriched, mart, averages=averages, **score_args),
                 partition["rule_based_scoring"])
     return Layers(store)
 

@@ -2,7 +2,7 @@
 
 import pytest
 
-import __spark_entry__ as entry
+from riskmart.plans.queries import REGISTRY
 from tests.conftest import SF001
 
 
@@ -13,7 +13,7 @@ def _plan(df) -> str:
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    return {name: _plan(fn(spark, SF001)) for name, fn in entry.queries().items()}
+    return {name: _plan(fn(spark, SF001)) for name, fn in REGISTRY.items()}
 
 
 def test_no_cartesian_or_nested_loop_joins(plans):
@@ -34,13 +34,61 @@ def test_train_reads_prune_the_split_partition(plans):
 
 
 def test_history_limits_rows_before_the_shuffle(plans):
-    plan = plans["recent_transactions"]
-    # WindowGroupLimit appears on both sides of the exchange: each task keeps its top 10.
-    assert plan.count("WindowGroupLimit") == 2
-    lines = plan.splitlines()
-    first_exchange = next(i for i, l in enumerate(lines) if "Exchange hashpartitioning" in l)
-    assert any("WindowGroupLimit" in l for l in lines[first_exchange + 1:])
-    assert "BroadcastHashJoin" in plan
+    lines = plans["recent_transactions"].splitlines()
+    # each task cuts a card's rows before the shuffle, and once more after it, below the join with candidates
+    exchange = next(i for i, l in enumerate(lines) if "Exchange hashpartitioning(card1" in l)
+    assert any("WindowGroupLimit" in l for l in lines[exchange + 1:])
+    join = max(i for i, l in enumerate(lines[:exchange]) if "BroadcastHashJoin" in l)
+    assert any("WindowGroupLimit [card1" in l for l in lines[join:exchange])
+
+
+def test_many_candidates_on_a_hot_card_do_not_multiply_its_rows(spark):
+    from pyspark.sql import functions as F
+
+    from riskmart.operators.investigate import recent_history
+    from riskmart.plans.catalog import layers_for
+    enriched = layers_for(spark, SF001).enriched.withColumn("card1", F.lit(1).cast("bigint"))
+    train = enriched.where("split = 'train'")
+    top = train.orderBy(F.desc("transaction_dt"), F.desc("transaction_id")).limit(40).select("transaction_id")
+    cands = spark.createDataFrame([(r[0], 1, i) for i, r in enumerate(top.collect())],
+                                  "transaction_id long, card1 long, candidate_rank int")
+    found = recent_history(cands, enriched, 10)
+    rows = {}
+    for r in found.orderBy("candidate_rank", "position").collect():
+        rows.setdefault(r["candidate_id"], []).append(r["transaction_id"])
+    order = [r[0] for r in cands.orderBy("candidate_rank").collect()]
+    assert rows == {c: [x for x in order if x != c][:10] for c in order}
+
+
+def test_hot_card_is_split_in_scoring(spark, tmp_dir):
+    import os
+
+    from pyspark.sql import functions as F
+
+    from riskmart.operators.scoring import card_average, score
+    from riskmart.plans.catalog import layers_for
+    from riskmart.plans.pipeline import SCORING_COLUMNS
+    layers = layers_for(spark, SF001)
+    path = os.path.join(tmp_dir, "hot")
+    hot = layers.enriched.withColumn("card1", F.when(F.col("transaction_id") % 3 == 0, -5).otherwise(
+        F.col("transaction_id")).cast("bigint")).crossJoin(spark.range(8).select(F.col("id").alias("copy")))
+    hot.drop("copy").write.parquet(path + "/rows")
+    hot = spark.read.parquet(path + "/rows")
+    card_average(hot).write.parquet(path + "/averages")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k", "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        scored = score(hot, layers.domain_mart, averages=spark.read.parquet(path + "/averages"))
+        assert scored.columns == SCORING_COLUMNS and len(scored.collect()) == 80_000
+        assert "skew=true" in _plan(scored)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def test_top_n_is_take_ordered(plans):
@@ -75,7 +123,8 @@ def test_windowed_history_is_a_hash_join(spark):
     for df in (card_statistics(cands, L.enriched, lookback_seconds=30 * 86400, only_before=True),
                recent_history(cands, L.enriched, 10, lookback_seconds=30 * 86400)):
         plan = _plan(df)
-        assert "BroadcastHashJoin" in plan
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert "Exchange hashpartitioning(transaction_id" not in plan
         assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
 
 
