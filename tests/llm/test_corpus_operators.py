@@ -25,6 +25,27 @@ def test_quality_separates_held_out_labels(spark):
     assert np.mean([i in ids for i in clean]) > 0.95 and np.mean([i in ids for i in poor]) < 0.2
 
 
+def test_quality_drops_toxic_prose(spark):
+    rng = random.Random(6)
+    words = ["".join(rng.choices("abdeilnorst", k=rng.randrange(2, 9))) for _ in range(3000)]
+    abuse = ["idiot", "scum", "moron", "ordure", "abschaum"]
+    prose = lambda: rng.choices(words, k=rng.randrange(30, 400))
+    docs, labels = [], []
+    for i in range(1200):
+        toxic, poor, said = i % 6 == 0, i % 6 == 1, prose()
+        if toxic:
+            for _ in range(3):
+                said.insert(rng.randrange(len(said)), rng.choice(abuse))
+        docs.append((i, " | ".join(said) if poor else " ".join(said).capitalize() + ".", "en", "x", 1))
+        if i < 800:
+            labels.append((i, int(not poor), int(toxic)))
+    kept = {r["doc_id"] for r in quality_resampling.kept(
+        spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
+    for some in (range(800), range(800, 1200)):             # labelled ones, and others
+        assert np.mean([i in kept for i in some if i % 6 == 0]) < 0.05
+        assert np.mean([i in kept for i in some if i % 6 > 1]) > 0.95
+
+
 def test_quality_odd_rows(spark):
     docs = spark.createDataFrame([(1, "a b", "en", "x", 1), (1, "a b", "en", "x", 1), (None, None, "en", "x", 1),
                                   (2, "", "en", "x", 1)], SCHEMA)
