@@ -1,14 +1,21 @@
-"""SentencePiece encoding and decoding by batched Viterbi in numpy.
-
-A text becomes the pieces of a public SentencePiece model whose scores add up to
-the most.  The text gets one leading space, spaces become the space mark, and the
-result falls apart at every space that follows another character, since no piece
-holds such a place (checked when the model is loaded).  Distinct words of equal
-length form a matrix of characters that advances one character a step; hashes of
-its substrings probe the sorted hashes of the pieces, and the maximum over the
-lengths of the last piece gives score and backpointer of all words at once.  Of
-equal sums the longer last piece wins.  A character without a piece becomes its
-UTF-8 bytes' pieces.
+"""SentencePiece encoding and decoding in batches of words in numpy: merges for BPE models, Viterbi for others.
+
+A text gets one leading space, spaces become the space mark, and the result falls
+apart at every space that follows another character, since no piece holds such a place
+(checked when the model is loaded).  Distinct words of equal length form a matrix of
+characters; hashes of its substrings probe the sorted hashes of the pieces.
+
+Of a model of type BPE the scores are ranks of merges, whose sum says nothing.  There,
+all words of a matrix take one merge a step, each its own best: the two neighbours that
+form the piece of the greatest score, the leftmost of equals, until none form a piece.
+Words longer than ``LONG`` characters do the same with a heap.  The ids are those of the
+library's ``encode``.
+
+Of other models a text becomes the pieces whose scores add up to the most: the matrix
+advances one character a step, and the maximum over the lengths of the last piece gives
+score and backpointer of all words at once.  Of equal sums the longer last piece wins.
+
+A character without a piece becomes its UTF-8 bytes' pieces.
 
 Defined cases: a null text is empty, an empty text has no ids; the space mark
 itself counts as a space, so it decodes to one; other texts decode to themselves;
@@ -19,6 +26,7 @@ are passed on; the other columns are not read.
 from __future__ import annotations
 
 import hashlib
+import heapq
 import re
 import zlib
 from collections import defaultdict
@@ -35,6 +43,8 @@ from riskmart.llm.common import Remembered, mix, raw_texts, slices, whole_text
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0          # an unknown character scores this much below the worst piece
 CELLS = 400_000                 # characters of one matrix of words
+BPE = 2                         # TrainerSpec.ModelType
+LONG = 200                      # characters from which a word is merged alone
 _WORD = re.compile(rb" +[^ ]*")
 
 
@@ -48,6 +58,11 @@ class Pieces:
     def __init__(self, path: str, limit: int = 300_000):
         import sentencepiece
         model = sentencepiece.SentencePieceProcessor(model_file=path)
+        from sentencepiece import sentencepiece_model_pb2
+        spec = sentencepiece_model_pb2.ModelProto.FromString(model.serialized_model_proto())
+        self.bpe = spec.trainer_spec.model_type == BPE
+        if self.bpe and any(p.type in (p.USER_DEFINED, p.UNUSED) for p in spec.pieces):
+            raise ValueError("user-defined and unused pieces of a BPE model are not handled")
         texts = [model.id_to_piece(i) for i in range(model.get_piece_size())]
         self.byte = np.zeros(256, np.uint32)
         self.plain = [b""] * len(texts)                       # what an id decodes to
@@ -94,16 +109,89 @@ class Pieces:
         out[maybe] = np.where(self.keys[at] == wanted, at, -1)
         return out
 
-    def viterbi(self, chars: np.ndarray) -> list[bytes]:
-        """Little-endian ids of words of one length; ``chars``: a row of code points for each word."""
+    def _substrings(self, chars: np.ndarray) -> np.ndarray:
+        """[:, j, l - 1]: position of the piece of l characters that ends before j, or -1."""
         words, length = chars.shape
         most = min(self.longest, length)
-        # piece[:, j, l - 1]: the piece of l characters that ends before j
         piece = np.full((words, length + 1, most), -1, np.int64)
         h = np.zeros((words, length), np.uint64)
         for l in range(1, most + 1):
             h = _step(h[:, : length - l + 1], chars[:, l - 1:])
             piece[:, l:, l - 1] = self._probe(h)
+        return piece
+
+    def merged(self, chars: np.ndarray) -> list[bytes]:
+        """Little-endian ids of words of one length by merges; ``chars``: a row of code points for each word."""
+        words, length = chars.shape
+        piece = self._substrings(chars)
+        most = piece.shape[2]
+        # of the part that begins at a place: its end, and where the part before begins
+        end = np.tile(np.arange(1, length + 2), (words, 1))
+        before = np.tile(np.arange(-1, length), (words, 1))
+        begins = np.ones((words, length + 1), bool)
+
+        def score(row: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> np.ndarray:
+            size = stop - begin
+            found = np.where((size <= most) & (stop <= length),
+                             piece[row, np.minimum(stop, length), np.minimum(size, most) - 1], -1)
+            return np.where(found >= 0, self.values[found], -np.inf)
+
+        # what the part that begins at a place and the next one score together
+        joint = np.full((words, length), -np.inf)
+        if most > 1:
+            joint[:, :-1] = np.where(piece[:, 2:, 1] >= 0, self.values[piece[:, 2:, 1]], -np.inf)
+        row = np.arange(words)
+        while len(row):
+            at = joint[row].argmax(1)                         # the leftmost of equals
+            left = joint[row, at] > -np.inf
+            row, at = row[left], at[left]
+            gone = end[row, at]
+            stop = end[row, gone]
+            end[row, at], before[row, stop] = stop, at
+            begins[row, gone] = False
+            joint[row, gone] = -np.inf
+            joint[row, at] = score(row, at, np.where(stop < length, end[row, stop], length + 1))
+            first = before[row, at] >= 0
+            r, a = row[first], at[first]
+            joint[r, before[r, a]] = score(r, before[r, a], end[r, a])
+        rows, starts = np.nonzero(begins[:, :-1])
+        ends = end[rows, starts]
+        return self._spelled(chars, rows, piece[rows, ends, ends - starts - 1], ends)
+
+    def merged_long(self, points: np.ndarray) -> bytes:
+        """Little-endian ids of one word by merges, best pair first from a heap."""
+        text, n = "".join(map(chr, points.tolist())), len(points)
+        end, before, alive = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
+        heap: list[tuple[float, int, int, int]] = []
+
+        def offer(begin: int, middle: int, stop: int) -> None:
+            if stop - begin <= self.longest and (found := self.scores.get(text[begin:stop])) is not None:
+                heapq.heappush(heap, (-found, begin, middle, stop))
+
+        for k in range(n - 1):
+            offer(k, k + 1, k + 2)
+        while heap:
+            _, begin, middle, stop = heapq.heappop(heap)
+            if not alive[begin] or end[begin] != middle or end[middle] != stop:
+                continue                                      # a part of it was merged otherwise
+            end[begin], alive[middle] = stop, False
+            if stop < n:
+                before[stop] = begin
+                offer(begin, stop, end[stop])
+            if before[begin] >= 0:
+                offer(before[begin], begin, stop)
+        ids, at = [], 0
+        while at < n:
+            found = self.numbers.get(text[at:end[at]])
+            ids.extend([found] if found is not None else self.byte[list(text[at].encode("utf-8", "replace"))].tolist())
+            at = end[at]
+        return np.array(ids, "<u4").tobytes()
+
+    def viterbi(self, chars: np.ndarray) -> list[bytes]:
+        """Little-endian ids of words of one length by sums; ``chars``: a row of code points for each word."""
+        words, length = chars.shape
+        piece = self._substrings(chars)
+        most = piece.shape[2]
         gain = np.where(piece >= 0, self.values[piece], -np.inf)
         gain[:, 1:, 0] = np.where(piece[:, 1:, 0] >= 0, gain[:, 1:, 0], self.unknown)
         best = np.full((words, length + most + 1), -np.inf)   # shifted by most: best[:, most + j]
@@ -124,7 +212,11 @@ class Pieces:
             row, at = row[at > 0], at[at > 0]
         rows, found, ends = (np.concatenate(x) for x in zip(*steps))
         order = np.lexsort((ends, rows))
-        rows, found, ends = rows[order], found[order], ends[order]
+        return self._spelled(chars, rows[order], found[order], ends[order])
+
+    def _spelled(self, chars: np.ndarray, rows: np.ndarray, found: np.ndarray, ends: np.ndarray) -> list[bytes]:
+        """Little-endian ids of each row of ``chars`` from its parts in order: their pieces (or -1) and ends."""
+        words = len(chars)
         # characters without a piece are spelled in bytes
         spelled = {k: self.byte[list(chr(chars[rows[k], ends[k] - 1]).encode("utf-8", "replace"))]
                    for k in np.flatnonzero(found < 0).tolist()}
@@ -143,11 +235,16 @@ class Pieces:
         for w in words:
             points = np.frombuffer(w.decode("utf-8", "replace").replace(" ", MARK).encode("utf-32-le"), "<u4")
             by_length[len(points)].append((w, points))
+        encode = self.merged if self.bpe else self.viterbi
         for length, group in by_length.items():
+            if self.bpe and length > LONG:
+                for w, points in group:
+                    self.known[w] = self.merged_long(points)
+                continue
             rows = max(1, CELLS // (length * min(length, self.longest)))
             for at in range(0, len(group), rows):
                 part = group[at: at + rows]
-                for (w, _), ids in zip(part, self.viterbi(np.stack([p for _, p in part]))):
+                for (w, _), ids in zip(part, encode(np.stack([p for _, p in part]))):
                     self.known[w] = ids
 
     def encode(self, texts: list[bytes]) -> list[bytes]:

@@ -145,6 +145,18 @@ def test_pieces(spark):
     assert by_text(map(tuple, back)) == by_text((i, (t or "").replace("▁", " ")) for i, t in rows)
 
 
+def test_pieces_are_those_of_the_library(spark):
+    import sentencepiece
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    model, rng = viterbi_pieces.pieces(PIECES), random.Random(9)
+    texts = [t or "" for t in TEXTS] + ["information", "  two   spaces ", " ", "a▁b", "▁▁ x", "</s> <0x41>", "ab" * 4000]
+    texts += ["".join(rng.choice("aeinorst  é漢\U0001f600\n.") for _ in range(rng.randrange(1, 900))) for _ in range(200)]
+    texts += ["".join(rng.choice("aeinorst") for _ in range(rng.randrange(150, 260))) for _ in range(60)]
+    texts += [r["text"] or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    for text, ids in zip(texts, model.encode([t.encode() for t in texts])):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text), text[:80]
+
+
 def test_chats(spark):
     rows = [(1, 1, "assistant", "b</s>\\"), (1, 0, "user", "[INST] a [/INST]"), (2, None, None, None), (2, 0, "tool", "<s>[:]"),
             (None, 3, "system", "<<SYS>>"), (3, 0, "assistant", ""), (3, 0, "assistant", "same"), (3, 0, "assistant", "same")]
