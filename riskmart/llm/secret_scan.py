@@ -5,7 +5,9 @@ hexadecimal strings; a match's place is the length of what ``split`` leaves befo
 it.  Long tokens that touch no such span are scored by two first-order Markov models
 over characters: one of random strings, trained on the values the rules found, one of
 ordinary identifiers, trained on words of labelled (rule-free) documents.  A token is
-a secret when its log-likelihood ratio exceeds the log odds of the two samples.
+a secret when its log-likelihood ratio exceeds ``log_odds``, the odds of an ordinary
+token against a random one that are assumed beforehand; a fixed parameter, since the
+sizes of two capped samples say nothing about them.
 
 Counts have one row for each pair of 66 characters.  The samples are bounded:
 ``sample_docs`` documents of the smallest hash for ordinary words, ``sample_values``
@@ -42,6 +44,7 @@ class Settings:
     sample_values: int = 20_000
     uniform: float = 40.0               # pseudo-counts of a uniform next character, random strings
     smooth: float = 1.0                 # the same, ordinary identifiers
+    log_odds: float = 10.0              # one random token among 22,000 ordinary ones
 
 
 def located(text: Column, pattern: str) -> Column:
@@ -109,18 +112,16 @@ def ratio_table(random: dict[str, int], ordinary: dict[str, int], settings: Sett
 
 
 def train(docs: DataFrame, found: DataFrame, settings: Settings = Settings()) -> tuple[list[float], float]:
-    """The table of log ratios of character pairs, and the threshold a token's sum must exceed."""
+    """The table of log ratios of character pairs, and the threshold a token's sum must exceed, whatever the samples' sizes."""
     values = found.select(F.explode("values").alias("word")).distinct()
     values = values.orderBy(F.xxhash64("word"), "word").limit(settings.sample_values)
     clean = found.where(F.size("base") == 0).where("doc_id is not null").select(F.col("doc_id").alias("id")).distinct()
     clean = F.broadcast(clean.orderBy(F.xxhash64("id"), "id").limit(settings.sample_docs))      # bounded by the limit
     words = (docs.select(F.col("doc_id").cast("long").alias("id"), whole_text().alias("text")).join(clean, "id")
              .select(F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z_-]{2,}"), F.lit(0))).alias("word")))
-    counts, sizes = [], []
-    for sample in (stash(values, "secret-values"), stash(words, "secret-words")):
-        counts.append({r["pair"]: r["n"] for r in pair_counts(sample).collect()})
-        sizes.append(sample.count())
-    return ratio_table(*counts, settings), math.log((sizes[1] + 1) / (sizes[0] + 1))
+    counts = [{r["pair"]: r["n"] for r in pair_counts(sample).collect()}
+              for sample in (stash(values, "secret-values"), stash(words, "secret-words"))]
+    return ratio_table(*counts, settings), settings.log_odds
 
 
 def scored(token: Column, table: list[float]) -> Column:

@@ -52,6 +52,19 @@ def test_markov_models_part_random_from_ordinary(spark):
     assert sum(got[200 + i] for i in range(20)) >= 19 and not any(got[300 + i] for i in range(20))
 
 
+def test_markov_threshold_does_not_follow_the_table(spark):
+    rng = random.Random(7)
+    words = ["configuration", "management", "interface", "connection", "parameter"]
+    rows = [(i, " ".join(rng.choices(words, k=30))) for i in range(400)]
+    found = []
+    for part in (rows[:4], rows):                           # no values of rules, few and many words
+        docs = frame(spark, part)
+        found.append(secret_scan.train(docs, secret_scan.rules(docs))[1])
+    docs = frame(spark, rows + [(1000 + i, f"token = {rng.randrange(10 ** 20)}x") for i in range(300)])
+    found.append(secret_scan.train(docs, secret_scan.rules(docs))[1])
+    assert len(set(found)) == 1, found
+
+
 @pytest.mark.parametrize("block_ids", [50, 1 << 16])
 def test_token_files(spark, block_ids):
     from tokenizers import Tokenizer
