@@ -175,8 +175,9 @@ def _aligner(rows: list[tuple[int | None, bytes]], settings: Settings, gram: np.
 
 
 def blocks_of(benchmark: DataFrame, block_words: int) -> Iterator[list[tuple[int | None, bytes]]]:
-    """The items, in lists of about ``block_words`` words at most."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), whole_text().alias("text"))
+    """The items, repeats once, in lists of about ``block_words`` words at most."""
+    items = stash(benchmark.select(F.col("item_id").cast("long").alias("item_id"), whole_text().alias("text")).distinct(),
+                  "items")
     total = items.agg(F.sum(F.size(F.split("text", r"\s+"))).alias("n")).first()["n"] or 0
     count = -(-2 * total // block_words) or 1
     for k in range(count):

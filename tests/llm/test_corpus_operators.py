@@ -80,6 +80,14 @@ def test_leaks(spark):
     assert decontaminate.clean(spark, docs, bench.limit(0)).count() == 7
 
 
+def test_repeated_items_do_not_fill_a_block(spark):
+    items = [(i, " ".join(f"w{i}x{k}" for k in range(10))) for i in range(40)] + [(None, "no id"), (3, None)]
+    rows = spark.createDataFrame(items + items[:1] * 2000 + items[-2:] * 3, "item_id long, text string")
+    blocks = list(decontaminate.blocks_of(rows, 100))
+    assert max(sum(len(t.split()) for _, t in b) for b in blocks) <= 200
+    assert sorted(str(x) for b in blocks for x in b) == sorted(str((i, (t or "").encode())) for i, t in items)
+
+
 def test_alignment_like_the_full_table():
     rng = np.random.default_rng(4)
     for _ in range(40):
