@@ -145,7 +145,11 @@ def _tokenizer(path: str, end_id: int):
         for whole in batches:
             for batch in slices(whole, 512):
                 ids = [x + end for x in encoder.encode(list(raw_texts(batch.column("text"))))]
-                small = [np.frombuffer(x, "<u4").astype("<u2").tobytes() for x in ids]
+                every = np.frombuffer(b"".join(ids), "<u4")
+                if every.max(initial=0) > 0xFFFF:
+                    raise ValueError(f"token id {every.max()} does not fit 16 bits")
+                data, cuts = every.astype("<u2").tobytes(), np.cumsum([0] + [len(x) // 2 for x in ids]).tolist()
+                small = [data[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id"), pa.array([len(x) // 4 for x in ids], pa.int64()),
                      pa.array([zlib.crc32(x) for x in ids], pa.int64()), pa.array(small, pa.binary())],
@@ -154,7 +158,7 @@ def _tokenizer(path: str, end_id: int):
 
 
 def tokens(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFrame:
-    """(doc_id, n_tokens, crc, ids): ids of each text and the end id, 16 bits each."""
+    """(doc_id, n_tokens, crc, ids): ids of each text and the end id, 16 bits each; a greater id is an error."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")).mapInArrow(
         _tokenizer(tokenizer_path, end_id), "doc_id long, n_tokens long, crc long, ids binary")
 

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from riskmart.llm import chat_template, huffman_ids, secret_scan, suffix_dedup, viterbi_pieces, weak_pii
@@ -85,6 +86,14 @@ def test_token_files_odd_rows(spark):
     assert [s for s, _ in got] == list(np.cumsum([0] + [n for _, n in got])[:-1])
 
 
+def test_token_files_refuse_ids_over_16_bits():
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2], pa.int64()), pa.array(["a b", ""])], ["doc_id", "text"])
+    out, = huffman_ids._tokenizer(WORD_BPE, 0xFFFF)([batch])
+    assert [x.as_py()[-2:] for x in out.column("ids")] == [b"\xff\xff"] * 2
+    with pytest.raises(ValueError):
+        list(huffman_ids._tokenizer(WORD_BPE, 1 << 16)([batch]))
+
+
 def test_limited_codes():
     rng = np.random.default_rng(2)
     for counts in (np.array([5]), np.array([1, 1]), 2 ** np.arange(30), rng.integers(1, 1000, 3000)):
