@@ -1,5 +1,5 @@
 """Operators of a large-scale training-data pipeline, one module per operator.
 
 Nothing else in the library imports this subpackage.  ``queries.py`` registers
-one query per operator (``op1_...`` to ``op10_...``) and ``pipeline``.
+one query per operator (``op1_...`` to ``op13_...``) and ``pipeline``.
 """

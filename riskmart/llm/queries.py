@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.llm import chat_template, decontaminate, exact_dedup, huffman_ids, quality_resampling, secret_scan
-from riskmart.llm import signature_tree, suffix_dedup, viterbi_pieces, weak_pii
+from riskmart.llm import byte_language, chat_template, decontaminate, exact_dedup, huffman_ids, quality_resampling
+from riskmart.llm import secret_scan, signature_tree, suffix_dedup, token_alignment, vector_codes, viterbi_pieces, weak_pii
 from riskmart.llm.common import new_path, stash, table
 
-TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
-WORD_BPE = f"{TOKENIZERS}/word_bpe_49k.json"
-PIECES = f"{TOKENIZERS}/piece_bpe_32k.model"
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,13 +69,28 @@ def op10_viterbi_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return viterbi_pieces.digests(table(spark, sf_dir, "documents"), PIECES)
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compressed(table(spark, sf_dir, "embeddings"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.digests(table(spark, sf_dir, "documents"), BYTE_BPE, PIECES)
+
+
+def op13_byte_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return byte_language.predicted(docs, byte_language.fitted(docs))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_quality_resampling, op2_exact_dedup, op3_secret_scan, op4_huffman_ids,
-                            op5_signature_tree, op6_suffix_dedup, op7_weak_pii, op8_decontaminate, op9_chat_template, op10_viterbi_pieces)}
+                            op5_signature_tree, op6_suffix_dedup, op7_weak_pii, op8_decontaminate, op9_chat_template, op10_viterbi_pieces,
+                            op11_vector_codes, op12_token_alignment, op13_byte_language)}
 
 # Plain SQL for what SQL can say on whole tables at a fair price; the others are held
 # against brute-force versions in tests/llm.
 ORACLE_SQL = {
+    "op11_vector_codes": vector_codes.ORACLE_SQL,
     "op2_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
