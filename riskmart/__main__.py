@@ -40,6 +40,7 @@ def main(argv=None) -> None:
     p.add_argument("--limit", type=int, default=5)
     p.add_argument("--answers", help="answer table (parquet: transaction_id, attempt, raw_response)")
     p.add_argument("--out")
+    p.add_argument("--max-rejects", type=int, default=0, help="raw records a load may reject before it fails")
     p.add_argument("--master")
     p.add_argument("--catalog-db", help="keep layers as catalog tables, bucketed by "
                                         "transaction_id (needs a metastore across runs)")
@@ -50,36 +51,47 @@ def main(argv=None) -> None:
 
     from riskmart.operators import casenotes as cn
     from riskmart.plans.batch import review_inputs, review_outcome
-    from riskmart.plans.pipeline import build_layers, export_dashboard, staged_from_csv
+    from riskmart.plans.load import build_csv_layers
+    from riskmart.plans.pipeline import build_layers, export_dashboard
     from riskmart.sources.events import events_to_identity, staged_from_events
     from riskmart.plans.pipeline import Layers
+    from riskmart.sources.layer_sets import LayerSets
     from riskmart.sources.tables import CatalogLayerStore, LayerStore
     from riskmart.sources.notes import NoteTable
 
     spark = build_session(a.master)
     layers_root = join_path(a.work, "layers")
-    store = (CatalogLayerStore(spark, a.catalog_db, layers_root, a.buckets) if a.catalog_db
-             else LayerStore(spark, layers_root))
-    if a.command in ("load", "events"):
+
+    def build(store):
         if a.command == "load":
-            txn, ident = staged_from_csv(spark, a.raw_dir)
-            layers = build_layers(store, txn, ident, hour_mode=a.hour_mode)
+            layers = build_csv_layers(spark, store, a.raw_dir, a.max_rejects, hour_mode=a.hour_mode)
+            store.read("load_report").show()
         else:
             txn, _ = staged_from_events(spark, a.sf_dir)
             layers = build_layers(store, txn, identity_from_transactions=events_to_identity,
                                   hour_mode=a.hour_mode)
-        _report(layers)
+        return layers
+
+    if a.command in ("load", "events"):
+        # path layers become visible all at once; catalog tables are replaced one by one
+        _report(build(CatalogLayerStore(spark, a.catalog_db, layers_root, a.buckets)) if a.catalog_db
+                else Layers(LayerSets(spark, layers_root).build(build)))
         return
+    store = (CatalogLayerStore(spark, a.catalog_db, layers_root, a.buckets) if a.catalog_db
+             else LayerSets(spark, layers_root).current())
+    if store is None:
+        p.error(f"no layers under {layers_root}: run load or events first")
     layers = Layers(store)
+    review = store if a.catalog_db else LayerStore(spark, join_path(a.work, "review"))
     if a.command == "prompts":
-        inputs = review_inputs(layers, n=a.limit)          # writes review_candidates
-        store.write("review_prompts", inputs.prompts)
-        store.read("review_prompts").orderBy("candidate_rank").select("transaction_id").show()
+        inputs = review_inputs(layers, a.limit, store=review)          # writes review_candidates
+        review.write("review_prompts", inputs.prompts)
+        review.read("review_prompts").orderBy("candidate_rank").select("transaction_id").show()
     elif a.command == "notes":
-        cands = store.read("review_candidates")
+        cands = review.read("review_candidates")
         notes = NoteTable(spark, join_path(a.work, "case_notes"))
         out = review_outcome(cands, spark.read.parquet(a.answers), notes.latest())
-        notes.write_next(out.notes)                          # upsert = a new version
+        notes.upsert(cn.notes_from_results(out.results))     # rewrites the touched buckets only
         out.summary.show(truncate=False)
         cn.label_counts(out.results, "risk_assessment").show()
         cn.label_counts(out.results, "recommended_action").show()

@@ -101,6 +101,12 @@ def batch_summary(candidate_rows: DataFrame, results: DataFrame) -> DataFrame:
     )
 
 
+def failed_candidates(candidate_rows: DataFrame, results: DataFrame) -> DataFrame:
+    """(candidate_rank, transaction_id) of every candidate without a valid answer, one row each."""
+    ok = results.where(F.col("succeeded")).select("transaction_id")
+    return candidate_rows.join(ok, "transaction_id", "left_anti").select("candidate_rank", "transaction_id")
+
+
 def label_counts(results: DataFrame, column: str) -> DataFrame:
     """(label, count) of a result field over successful results, by label."""
     return (results.where(F.col("succeeded")).groupBy(F.col(column).alias("label"))

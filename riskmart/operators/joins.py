@@ -5,14 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A side is broadcast only when a count shows at most this many rows.  Sized for
-# narrow rows (a key and a flag: a few MB); pass a smaller bound for wide rows.
+# A side is broadcast only when it is counted to have at most so many rows and bytes.
 DEFAULT_BROADCAST_ROWS = 100_000
+DEFAULT_BROADCAST_BYTES = 64 << 20
 
 
-def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """Whether a count proves that ``df`` has at most ``max_rows`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def _width(df: DataFrame):
+    """Bytes of a row's values: texts and binaries by their length, others by a fixed size."""
+    known = [F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)) if t in ("string", "binary") else
+             F.octet_length(F.to_json(F.struct(F.col(f"`{c}`")))) if t.startswith(("array", "map", "struct")) else F.lit(8)
+             for c, t in df.dtypes]
+    return sum(known, F.lit(16)).cast("bigint")
+
+
+def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """Whether ``df`` is counted to have at most ``max_rows`` rows of ``max_bytes`` bytes in all."""
+    seen = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("rows"), F.sum(_width(df)).alias("bytes")).first()
+    return seen["rows"] <= max_rows and (seen["bytes"] or 0) <= max_bytes
 
 
 def broadcast_when(small: bool, df: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskmart.functions.derived import percent, round_half_away
+from riskmart.functions.exact import exact_avg
 from riskmart.schema import FACT_COLUMNS
 
 TRAIN = "train"
@@ -31,8 +32,8 @@ def email_domain_mart(fact: DataFrame, min_rows: int = 100) -> DataFrame:
             .agg(n.alias("total_transactions"),
                  fraud.alias("fraud_count"),
                  round_half_away(percent(fraud, n), 4).alias("fraud_rate"),
-                 round_half_away(F.avg("transaction_amt"), 2).alias("avg_amount"),
-                 round_half_away(F.avg(F.when(F.col("is_fraud"), F.col("transaction_amt"))), 2)
+                 round_half_away(exact_avg("transaction_amt"), 2).alias("avg_amount"),
+                 round_half_away(exact_avg(F.when(F.col("is_fraud"), F.col("transaction_amt"))), 2)
                  .alias("avg_fraud_amount"))
             .where(F.col("total_transactions") >= min_rows))
 

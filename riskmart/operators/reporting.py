@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskmart.functions.derived import score_band
+from riskmart.functions.exact import exact_sum
 from riskmart.operators.joins import broadcast_if_small
 from riskmart.schema import FACT_COLUMNS, SCORING_COLUMNS
 
@@ -22,9 +23,8 @@ def report_base(fact: DataFrame, notes: DataFrame, scored: DataFrame,
                 note_broadcast_rows: int = 20_000) -> DataFrame:
     """The dashboard's join tree as one frame.
 
-    Notes are few (one per reviewed transaction) but wide (answer text, a few
-    KB each): broadcast only after a count shows at most ``note_broadcast_rows``
-    (tens of MB), else a shuffle join.  Fact and scoring are both large and
+    Notes are few (one per reviewed transaction) but wide (answer texts): broadcast
+    only after a count of their rows and bytes, else a shuffle join.  Fact and scoring are both large and
     joined on their unique key.
     """
     f = fact.alias("f")
@@ -51,8 +51,8 @@ def kpis(base: DataFrame) -> DataFrame:
     return base.agg(
         _fraud_count().alias("fraud_count"),
         fraud_rate_measure().alias("fraud_rate"),
-        F.sum(F.when(F.col("is_fraud") == F.lit(True), F.col("transaction_amt"))
-              .otherwise(F.lit(0.0))).alias("amount_at_risk"),
+        exact_sum(F.when(F.col("is_fraud") == F.lit(True), F.col("transaction_amt"))
+                  .otherwise(F.lit(0.0))).alias("amount_at_risk"),
         F.count("transaction_id").alias("total_transactions"),
     )
 

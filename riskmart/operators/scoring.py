@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskmart.functions.derived import fraud_flag, percent
+from riskmart.functions.exact import exact_avg
 from riskmart.operators.joins import broadcast_if_small
 from riskmart.schema import FLAG_COLUMNS, SCORING_COLUMNS
 
 
 def card_average(enriched: DataFrame) -> DataFrame:
-    """Average amount per ``card1`` over all splits (NULL card is a group too)."""
-    return enriched.groupBy("card1").agg(F.avg("transaction_amt").alias("avg_card1_amt"))
+    """Average amount per ``card1`` over all splits (NULL card is a group too), exact in any row order."""
+    return enriched.groupBy("card1").agg(exact_avg("transaction_amt").alias("avg_card1_amt"))
 
 
 def high_risk_domains(domain_mart: DataFrame, rate_over: float = 10.0) -> DataFrame:

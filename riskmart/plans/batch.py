@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from riskmart.operators import casenotes as cn
 from riskmart.operators import investigate as inv
 from riskmart.plans.pipeline import Layers
+from riskmart.sources.tables import LayerStore
 
 
 @dataclass
@@ -25,14 +26,14 @@ class ReviewInputs:
     prompts: DataFrame
 
 
-def review_inputs(layers: Layers, n: int = 5, k: int = 10) -> ReviewInputs:
+def review_inputs(layers: Layers, n: int = 5, k: int = 10, store: LayerStore | None = None) -> ReviewInputs:
     """The first half: everything the reviewer sees, one row (or k rows) per candidate.
 
     The candidate list is written first (``review_candidates``), so the top-N
-    over the scoring table runs once; statistics, history and prompts read it.
+    over the scoring table runs once; statistics, history and prompts read it.  It goes
+    into ``store``, next to the layers where none is given.
     """
-    cands = layers.store.write("review_candidates",
-                               inv.candidates(layers.scoring, layers.enriched, n))
+    cands = (store or layers.store).write("review_candidates", inv.candidates(layers.scoring, layers.enriched, n))
     stats = inv.card_statistics(cands, layers.enriched)
     hist = inv.recent_history(cands, layers.enriched, k)
     return ReviewInputs(cands, stats, hist, inv.prompts(cands, stats, hist))
@@ -59,7 +60,8 @@ def write_report_base(store, fact: DataFrame, notes: DataFrame, scored: DataFram
     """Write the dashboard's joined extract (fact + notes + scoring) once.
 
     All worksheets aggregate this one table, so the large fact-scoring join
-    runs once per refresh instead of once per worksheet.
+    runs once per refresh instead of once per worksheet.  The fact holds train rows
+    only and a transaction is in one split, so only that part of the scoring is read.
     """
     from riskmart.operators.reporting import report_base
-    return store.write("report_base", report_base(fact, notes, scored))
+    return store.write("report_base", report_base(fact, notes, scored.where("split = 'train'")))

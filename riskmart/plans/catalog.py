@@ -4,9 +4,9 @@ Queries read the pipeline's written layers.  The layers of one input folder
 are built once per code version, shared folder and state of the input's files, then
 reused by every query.
 
-One application builds a given folder at a time (a lock guards threads of one
-driver).  Two applications that may start the same build at the same moment
-should use different ``spark.checkpoint.dir`` values.
+A build is published as one set once its last layer is written, so a build that was cut
+off is never read, and of two applications that build at the same moment one publishes
+and both read that set (a lock guards threads of one driver).
 """
 
 from __future__ import annotations
@@ -19,9 +19,10 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskmart.plans.pipeline import Layers, build_layers, open_layers
+from riskmart.plans.pipeline import Layers, build_layers
 from riskmart.session import join_path, shared_dir
 from riskmart.sources.events import events_to_identity, staged_from_events
+from riskmart.sources.layer_sets import LayerSets
 
 _LOCK = threading.Lock()
 _BUILT: dict[tuple[str, str, str], Layers] = {}
@@ -66,10 +67,8 @@ def layers_for(spark: SparkSession, sf_dir: str) -> Layers:
         place = sf_dir if "://" in sf_dir else os.path.abspath(sf_dir)
         slug = hashlib.sha1(f"{place} {state}".encode()).hexdigest()[:10]
         root = join_path(base, "riskmart-layers", f"{slug}-{CODE_VERSION}")
-        layers = open_layers(spark, root)
-        if not layers.complete():
-            txn, _ = staged_from_events(spark, sf_dir)
-            layers = build_layers(layers.store, txn, identity_from_transactions=events_to_identity)
+        layers = Layers(LayerSets(spark, root).current_or_build(lambda store: build_layers(
+            store, staged_from_events(spark, sf_dir)[0], identity_from_transactions=events_to_identity)))
         _BUILT[key] = layers
         return layers
 

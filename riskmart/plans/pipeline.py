@@ -80,17 +80,19 @@ class Layers:
 
 
 def build_layers(store: LayerStore, stg_transactions: DataFrame, stg_identity=None, *,
-                 identity_from_transactions=None, hour_mode: str = "round",
+                 identity_from_transactions=None, staged: bool = False, hour_mode: str = "round",
                  min_rows: int = 100, **score_args) -> Layers:
     """Write all layers in dependency order and return them.
 
     ``stg_identity`` is a frame, or ``identity_from_transactions`` a function
     that derives it from the written transaction table (the events adapter).
+    ``staged``: both staged tables are written already.
     """
     partition = dict(LAYERS)
-    txn = store.write("stg_transactions", stg_transactions, partition["stg_transactions"])
+    txn = stg_transactions if staged else store.write("stg_transactions", stg_transactions, partition["stg_transactions"])
     ident = stg_identity if stg_identity is not None else identity_from_transactions(txn)
-    ident = store.write("stg_identity", ident, partition["stg_identity"])
+    if not staged:
+        ident = store.write("stg_identity", ident, partition["stg_identity"])
     enriched = store.write("int_transactions_enriched", enrich(txn, ident, hour_mode),
                            partition["int_transactions_enriched"])
     fact = store.write("fct_fraud_analysis", fraud_fact(enriched))

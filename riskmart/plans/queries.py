@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import threading
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,15 +14,20 @@ from riskmart.operators import quality as qa
 from riskmart.operators import reporting as rp
 from riskmart.operators import scoring as sc
 from riskmart.operators.marts import ordered_domain_mart
+from riskmart.operators.positions import with_position
 from riskmart.plans.batch import write_report_base
 from riskmart.plans.catalog import QueryFn, layers_for
 from riskmart.plans.fixtures import answers_for
-from riskmart.plans.pipeline import RAW_FILES, build_layers, layer_row_counts, open_layers, staged_from_csv
-from riskmart.schema import IDENTITY_NULL_REPORT, TRANSACTION_NULL_REPORT
+from riskmart.plans.load import build_csv_layers, load_csv
+from riskmart.plans.pipeline import RAW_FILES, Layers, layer_row_counts
+from riskmart.plans.review_run import ReviewRun
+from riskmart.schema import FACT_COLUMNS, IDENTITY_NULL_REPORT, SCORING_COLUMNS, TRANSACTION_NULL_REPORT
 from riskmart.session import join_path
 from riskmart.sources.csv import CASE_NOTE_SCHEMA, export_csv, import_csv
 from riskmart.sources.events import staged_from_events
-from riskmart.sources.raw_files import raw_files, write_raw
+from riskmart.sources.layer_sets import LayerSets
+from riskmart.sources.notes import NoteTable
+from riskmart.sources.raw_files import raw_files, write_faulty, write_raw
 
 BATCH_SIZE = 20          # one review batch, as the source's showcase run
 HISTORY_ROWS = 10
@@ -211,6 +217,40 @@ def case_notes_upsert(spark, sf_dir):
     return merged.drop("created_at")
 
 
+@query("case_note_table")
+def case_note_table(spark, sf_dir):
+    """Both review runs upserted into a bucketed note table: its rows, and whether each kept its first time."""
+    store = layers_for(spark, sf_dir).store
+    table = NoteTable(spark, store.path(f"note-tables/{uuid.uuid4().hex}"), buckets=16)
+    table.upsert(cn.notes_from_results(_results(spark, sf_dir)[1]))
+    first = table.latest().select(F.col("transaction_id").alias("first_id"), F.col("created_at").alias("first_at"))
+    table.upsert(cn.notes_from_results(_results(spark, sf_dir, shift=3)[1]))
+    now = table.latest()
+    kept = F.when(F.col("first_id").isNull(), F.col("created_at").isNotNull()).otherwise(
+        F.col("created_at") == F.col("first_at"))
+    return now.join(first, F.col("transaction_id") == F.col("first_id"), "left").select(
+        *cn.UPSERT_COLUMNS, F.col("first_id").isNotNull().alias("known_before"), kept.alias("created_at_kept"))
+
+
+@query("review_batch")
+def review_batch(spark, sf_dir):
+    """A whole review run over its tables, cut off after the first round of answers and resumed: every candidate's state."""
+    store = layers_for(spark, sf_dir).store
+    root, name = store.path("review-runs"), uuid.uuid4().hex
+    notes = NoteTable(spark, store.path(f"review-runs/{name}/notes"), buckets=16)
+    ReviewRun(spark, root, name, notes).start(layers_for(spark, sf_dir), BATCH_SIZE, HISTORY_ROWS)
+    for _ in range(3):                       # each round is a process of its own: it knows the folder only
+        run = ReviewRun(spark, root, name, notes)
+        asked = run.open_prompts().select("transaction_id", "attempt")
+        run.take(_answers(spark, sf_dir).join(asked, ["transaction_id", "attempt"]))
+    return ReviewRun(spark, root, name, notes).state()
+
+
+@query("batch_failed_candidates")
+def batch_failed_candidates(spark, sf_dir):
+    return cn.failed_candidates(*_results(spark, sf_dir))
+
+
 @query("batch_summary")
 def batch_summary(spark, sf_dir):
     cands, results = _results(spark, sf_dir)
@@ -290,35 +330,126 @@ def transaction_deep_dive(spark, sf_dir):
 
 
 # ---------------------------------------------------------------------------
-# Dashboard export: case notes through CSV and back
+# Dashboard export: mart, scoring and case notes through CSV and back
 # ---------------------------------------------------------------------------
 
 
+def _through_csv(spark, sf_dir, df: DataFrame) -> DataFrame:
+    """``df`` written as CSV into a folder of its own and read back with its types."""
+    path = layers_for(spark, sf_dir).store.path(f"exports/{uuid.uuid4().hex}")
+    export_csv(df, path)
+    return import_csv(spark, path, df.schema)
+
+
 @query("csv_round_trip")
 def csv_round_trip(spark, sf_dir):
     """Case notes (multi-line, quoted answer text) written as CSV and read back typed."""
-    store = layers_for(spark, sf_dir).store
-    path = store.path("exports/case_notes_csv")
+    path = layers_for(spark, sf_dir).store.path(f"exports/{uuid.uuid4().hex}")
     export_csv(_notes(spark, sf_dir), path)
     return import_csv(spark, path, CASE_NOTE_SCHEMA).drop("created_at")
 
 
+@query("csv_export_fact")
+def csv_export_fact(spark, sf_dir):
+    return _through_csv(spark, sf_dir, layers_for(spark, sf_dir).fact.select(*FACT_COLUMNS))
+
+
+@query("csv_export_scoring")
+def csv_export_scoring(spark, sf_dir):
+    return _through_csv(spark, sf_dir, layers_for(spark, sf_dir).scoring.select(*SCORING_COLUMNS))
+
+
+@query("csv_export_notes")
+def csv_export_notes(spark, sf_dir):
+    """Case notes through CSV, and whether the time of each came back to the microsecond."""
+    notes = _notes(spark, sf_dir)
+    before = notes.select(F.col("transaction_id").alias("note_id"), F.col("created_at").alias("written_at"))
+    back = _through_csv(spark, sf_dir, notes)
+    return back.join(before, F.col("transaction_id") == F.col("note_id")).select(
+        *cn.UPSERT_COLUMNS, (F.col("created_at") == F.col("written_at")).alias("created_at_exact"))
+
+
+# ---------------------------------------------------------------------------
+# Ordered results with their positions
+# ---------------------------------------------------------------------------
+
+
+def _positions(spark, sf_dir, df: DataFrame, *order) -> DataFrame:
+    return with_position(df, list(order), layers_for(spark, sf_dir).store, f"positions/{uuid.uuid4().hex}")
+
+
+@query("ordered_domain_mart")
+def ordered_domains(spark, sf_dir):
+    return _positions(spark, sf_dir, layers_for(spark, sf_dir).domain_mart.select("domain", "fraud_rate"),
+                      F.desc_nulls_last("fraud_rate"), F.asc_nulls_last("domain"))
+
+
+@query("ordered_split_counts")
+def ordered_split_counts(spark, sf_dir):
+    return _positions(spark, sf_dir, split_row_counts(spark, sf_dir), F.asc("table_name"), F.asc("split"))
+
+
+@query("ordered_identity_coverage")
+def ordered_identity_coverage(spark, sf_dir):
+    return _positions(spark, sf_dir, identity_coverage(spark, sf_dir), F.asc("split"))
+
+
+def _bars(name: str, rates, dimension: str) -> None:
+    def fn(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return _positions(spark, sf_dir, rates(_base(spark, sf_dir)), F.desc_nulls_last("fraud_rate"),
+                          F.asc_nulls_first(dimension))
+    REGISTRY[name] = fn
+
+
+_bars("ordered_card_networks", rp.fraud_rate_by_card_network, "card4")
+_bars("ordered_products", rp.fraud_rate_by_product, "product_cd")
+_bars("ordered_score_bands", rp.fraud_rate_by_score_band, "score_band")
+
+
+@query("ordered_investigation_queue")
+def ordered_investigation_queue(spark, sf_dir):
+    rows = rp.investigation_queue(_base(spark, sf_dir), min_score=50)
+    return _positions(spark, sf_dir, rows, F.desc_nulls_last("risk_score"), F.desc_nulls_last("transaction_amt"),
+                      *(F.asc_nulls_first(c) for c in rp.QUEUE_COLUMNS[2:]))
+
+
+@query("ordered_labels")
+def ordered_labels(spark, sf_dir):
+    results = _results(spark, sf_dir)[1]
+    labels = cn.label_counts(results, "risk_assessment").select(F.lit("risk_assessment").alias("field"), "label", "count")
+    return _positions(spark, sf_dir, labels.unionByName(cn.label_counts(results, "recommended_action").select(
+        F.lit("recommended_action").alias("field"), "label", "count")), F.asc("field"), F.asc_nulls_first("label"))
+
+
 # ---------------------------------------------------------------------------
 # Raw CSV files: the load as a user runs it
 # ---------------------------------------------------------------------------
 
 
-def _csv_layers(spark, sf_dir):
-    """Layers built from four raw CSV files of the events (written next to the other layers, once)."""
-    store = layers_for(spark, sf_dir).store
-    layers = open_layers(spark, store.path("csv-layers"))
+def _raw_dir(spark, sf_dir, name: str, write) -> str:
+    """A folder with the four raw files of the events, written once next to the layers."""
+    path = layers_for(spark, sf_dir).store.path(name)
+    for key, df in raw_files(*staged_from_events(spark, sf_dir)).items():
+        write(df, join_path(path, RAW_FILES[key]))
+    return path
+
+
+def _csv_set(spark, sf_dir, name: str, build) -> Layers:
+    sets = LayerSets(spark, layers_for(spark, sf_dir).store.path(name))
     with _ONCE_LOCK:
-        if not layers.complete():
-            raw_dir = store.path("raw-csv")
-            for key, df in raw_files(*staged_from_events(spark, sf_dir)).items():
-                write_raw(df, join_path(raw_dir, RAW_FILES[key]))
-            layers = build_layers(layers.store, *staged_from_csv(spark, raw_dir))
-    return layers
+        return Layers(sets.current_or_build(build))
+
+
+def _csv_layers(spark, sf_dir):
+    """Layers built from four raw CSV files of the events (published next to the other layers, once)."""
+    return _csv_set(spark, sf_dir, "csv-layers", lambda store: build_csv_layers(
+        spark, store, _raw_dir(spark, sf_dir, "raw-csv", write_raw)))
+
+
+def _faulty_load(spark, sf_dir):
+    """The load of raw files with records that no load can take, all of them allowed."""
+    return _csv_set(spark, sf_dir, "csv-faulty", lambda store: load_csv(
+        spark, store, _raw_dir(spark, sf_dir, "raw-csv-faulty", write_faulty), max_rejects=1 << 62))
 
 
 @query("csv_stg_transactions")
@@ -338,4 +469,22 @@ def csv_scoring_validation(spark, sf_dir):
 
 @query("csv_null_rates_transactions")
 def csv_null_rates_transactions(spark, sf_dir):
-    return qa.null_rates(_csv_layers(spark, sf_dir).table("stg_transactions"), TRANSACTION_NULL_REPORT)
+    return qa.null_counts(_csv_layers(spark, sf_dir).table("stg_transactions"), TRANSACTION_NULL_REPORT)
+
+
+@query("csv_load_report")
+def csv_load_report(spark, sf_dir):
+    return _faulty_load(spark, sf_dir).store.read("load_report")
+
+
+@query("csv_load_rejects")
+def csv_load_rejects(spark, sf_dir):
+    """Every rejected record by its key's text, with its reason."""
+    rejects = _faulty_load(spark, sf_dir).store.read("load_rejects")
+    return rejects.select("table_name", "split", F.split("record", ",")[0].alias("key_text"), "reason")
+
+
+@query("csv_faulty_transactions")
+def csv_faulty_transactions(spark, sf_dir):
+    """The transactions that the load of faulty files lets through."""
+    return _faulty_load(spark, sf_dir).table("stg_transactions").select("split", "transaction_id", "is_fraud", "card1")

@@ -44,8 +44,9 @@ def shared_dir(spark: SparkSession) -> str:
     """The shared folder for written layers and checkpoints.
 
     Taken from ``spark.checkpoint.dir`` (the cluster's shared storage).  Only
-    when the session has none - local runs and tests - a private folder under
-    the system temp dir is created and registered as the checkpoint dir.
+    when the session has none and runs in one process (tests) a private folder under
+    the system temp dir is created and registered as the checkpoint dir; on a cluster,
+    whose executors could not see it, that is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -55,6 +56,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not path and sc is not None:
         path = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
+        if sc is not None and sc.master != "local" and not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="riskmart-")
         if sc is not None:
             sc.setCheckpointDir(path)

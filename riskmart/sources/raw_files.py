@@ -2,8 +2,9 @@
 
 Raw header names (with ``-`` in the test identity file), mixed-case e-mail domains,
 card numbers as ``404.0`` or unreadable text, empty fields, amounts over 500 and
-missing ones, and one column that no layout lists.  The rules are fixed by the
-checks, as those of ``sources/events.py``.
+missing ones, and columns that no layout lists.  The rules are fixed by the
+checks, as those of ``sources/events.py``.  ``write_faulty`` writes the same rows with some
+records that no load can take.
 """
 
 from __future__ import annotations
@@ -38,6 +39,13 @@ _TRANSACTION = {
     "M5": "CASE WHEN transaction_id % 6 = 0 THEN 'T' END",
     "V1": "transaction_id % 2",
     "Extra-Col": "concat('note ', transaction_id, ', \"as is\"')",
+    "Extra-Count": "CASE WHEN transaction_id % 11 > 0 THEN transaction_id * 1000000007 END",
+    "Extra-Ratio": "CASE WHEN transaction_id % 2 = 0 THEN '7' ELSE concat(transaction_id % 10, '.25') END",
+    "Extra-Day": "date_add(DATE'2024-01-01', CAST(transaction_id % 365 AS INT))",
+    "Extra-Seen": "concat('2024-02-03 04:05:', lpad(transaction_id % 60, 2, '0'))",
+    "Extra-Flag": "CASE WHEN transaction_id % 3 > 0 THEN transaction_id % 3 = 1 END",
+    "Extra-Mixed": "CASE WHEN transaction_id % 2 = 0 THEN '12' ELSE 'true' END",
+    "Extra-None": "CAST(NULL AS STRING)",
 }
 _IDENTITY = {
     "TransactionID": "transaction_id",
@@ -64,5 +72,18 @@ def raw_files(transactions: DataFrame, identity: DataFrame) -> dict[str, DataFra
     }
 
 
+def write_faulty(df: DataFrame, path: str) -> None:
+    """Write as raw CSV, with fields too many, records cut short and keys that are no whole number."""
+    key, names = F.col("TransactionID"), [f"`{c}`" for c in df.columns]
+    text = F.when(key % 521 == 0, F.concat(key, F.lit(".5"))).otherwise(key.cast("string")).alias("TransactionID")
+    fields = [text, *names[1:]]                 # the key is every file's first column
+    options = {k: RAW_WRITE[k] for k in ("escape", "emptyValue")}
+    line, short = F.to_csv(F.struct(*fields), options), F.to_csv(F.struct(*fields[:3]), options)
+    rows = df.select(F.when(key % 503 == 0, F.concat(line, F.lit(",EXTRA,FIELDS"))).when(key % 509 == 0, short)
+                     .otherwise(line).alias(",".join(df.columns)))
+    # lines as they are: no quoting, and a separator that is in no text
+    rows.write.mode("overwrite").options(header="true", sep="\u0001", quote="", lineSep="\n").csv(path)
+
+
 def write_raw(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(**RAW_WRITE).csv(path)

@@ -12,18 +12,18 @@ def test_events_prompts_notes_export(spark, tmp_dir, capsys):
     work = os.path.join(tmp_dir, "work")
     main(["events", "--sf-dir", SF0001, "--work", work])
     main(["prompts", "--work", work, "--limit", "4"])
-    prompts = spark.read.parquet(os.path.join(work, "layers", "review_prompts"))
+    prompts = spark.read.parquet(os.path.join(work, "review", "review_prompts"))
     assert prompts.count() == 4
     assert all(p.startswith("Flagged transaction for review:") for (p,) in
                prompts.select("prompt").collect())
 
-    cands = spark.read.parquet(os.path.join(work, "layers", "review_candidates"))
+    cands = spark.read.parquet(os.path.join(work, "review", "review_candidates"))
     answers = os.path.join(tmp_dir, "answers")
     answers_for(cands).write.parquet(answers)
     main(["notes", "--work", work, "--answers", answers])
     main(["notes", "--work", work, "--answers", answers])          # a second run upserts
     table = NoteTable(spark, os.path.join(work, "case_notes"))
-    assert table.next_version() == 2
+    assert table.version() == 1
     notes = table.latest()
     ids = [r[0] for r in notes.select("transaction_id").collect()]
     assert len(ids) == len(set(ids)) and 0 < len(ids) <= 4

@@ -10,7 +10,6 @@ import pytest
 from riskmart.operators.staging import stage_transactions
 from riskmart.plans.catalog import layers_for
 from riskmart.sources.csv import export_csv, import_csv
-from riskmart.sources.notes import NoteTable
 from tests.conftest import SF0001
 
 
@@ -50,11 +49,3 @@ def test_changed_input_gets_new_layers(spark, tmp_dir):
     os.chmod(events, 0o644)
     pq.write_table(part, events)
     assert layers_for(spark, source) is not first
-
-
-def test_note_versions_never_overwrite(spark, tmp_dir):
-    table = NoteTable(spark, os.path.join(tmp_dir, "notes"))
-    rows = table.latest()
-    assert table.write_next(rows) == 0 and table.write_next(rows) == 1
-    with pytest.raises(Exception):
-        rows.write.mode("errorifexists").parquet(os.path.join(tmp_dir, "notes", "v=1"))

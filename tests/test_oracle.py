@@ -9,7 +9,7 @@ import __spark_entry__ as entry
 from riskmart.plans.queries import REGISTRY
 from tests.conftest import SF001
 
-TABLES = ["events", "documents"]
+TABLES = ["events", "documents", "embeddings"]
 
 
 @pytest.fixture(scope="module")
