@@ -25,12 +25,15 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, is_dataclass
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskmart.llm.common import stash
+
 CONTROLS = ("<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "[ANS]", "[TURN]", "[:]", "[/TURN]")
 TEMPLATE = ("{{ '<' + 's>' }}{% for m in messages %}"
             "{% if m.role == 'system' %}<<SYS>>{{ m.text|escape }}<</SYS>>"
@@ -394,20 +397,53 @@ def compile_template(template: str) -> Callable[[list[dict]], tuple[str, list[tu
 # -- the jobs ---------------------------------------------------------------------------
 
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-FORMATTED = "conv_id long, formatted string, mask array<struct<start:long,end:long>>"
+FORMATTED = "conv_id long, block long, formatted string, mask array<struct<start:long,end:long>>, opens boolean, closes boolean"
+_RENDERED = ("conv_id long, part int, block int, formatted string, mask array<struct<start:long,end:long>>, "
+             "opens boolean, closes boolean, edge int")
+BLOCK_CHARS = 1 << 18           # formatted characters after which a conversation goes on in a new row
+
+
+def _names(node) -> set[str]:
+    """Every name that occurs in a part of a syntax tree."""
+    if isinstance(node, (list, tuple)):
+        return set().union(*map(_names, node)) if node else set()
+    if isinstance(node, Name):
+        return {node.name}
+    return _names([getattr(node, f) for f in node.__dataclass_fields__]) if is_dataclass(node) else set()
+
+
+def streamed(template: str) -> tuple[str, Callable[[dict, Sink], None], str, str] | None:
+    """(text before, renderer of one message, its name, text after) of a template that is one loop over all messages
+    between constant texts, with no look at other messages; None of any other."""
+    body = fold(parse(template))
+    loops = [k for k, n in enumerate(body) if isinstance(n, For)]
+    if len(loops) != 1:
+        return None
+    loop, around = body[loops[0]], [*body[:loops[0]], *body[loops[0] + 1:]]
+    if not all(isinstance(n, Out) and isinstance(n.value, Const) for n in around):
+        return None
+    if not (isinstance(loop.of, Name) and loop.of.name == "messages") or _names(loop.body) - {loop.name}:
+        return None
+    text = lambda nodes: "".join(str(n.value.value) for n in nodes)
+    return text(body[:loops[0]]), _block(loop.body), loop.name, text(body[loops[0] + 1:])
+
+
+def _batch_of(rows: list[dict], fields: list[tuple[str, pa.DataType]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pylist(rows, pa.schema(fields))
+
 
+def _whole(template: str):
+    """Conversations in one row each, for templates that look at all messages."""
+    fields = [("conv_id", pa.int64()), ("block", pa.int64()), ("formatted", pa.string()), ("mask", _SPANS),
+              ("opens", pa.bool_()), ("closes", pa.bool_())]
 
-def _formatter(template: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         render, now, held = compile_template(template), None, []
 
         def done() -> dict:
             text, spans = render(held)
-            return {"conv_id": now[0], "formatted": text, "mask": [{"start": a, "end": b} for a, b in spans]}
-
-        def batch_of(rows: list[dict]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_pylist(rows, pa.schema([
-                ("conv_id", pa.int64()), ("formatted", pa.string()), ("mask", _SPANS)]))
+            return {"conv_id": now[0], "block": 0, "formatted": text, "opens": True, "closes": True,
+                    "mask": [{"start": a, "end": b} for a, b in spans]}
 
         rows, size = [], 0
         for batch in batches:
@@ -417,37 +453,102 @@ def _formatter(template: str):
                     size += len(rows[-1]["formatted"])
                     held = []
                     if size > 1 << 22:
-                        yield batch_of(rows)
+                        yield _batch_of(rows, fields)
                         rows, size = [], 0
                 now = (conv,)
                 held.append({"role": role, "text": text})
         if now is not None:
             rows.append(done())
-        yield batch_of(rows)
+        yield _batch_of(rows, fields)
     return run
 
 
-def formatted(conversations: DataFrame, template: str = TEMPLATE) -> DataFrame:
-    """(conv_id, formatted, mask) of each conversation (rows conv_id, turn, role, text).
+def _blocks(template: str, chars: int):
+    """Runs of a conversation's messages, of about ``chars`` characters each, as they come sorted to a task.
 
-    Turns of a conversation are brought together sorted and streamed; one conversation
-    is in memory at a time.
+    ``edge``: 1 on a task's first row and 2 on its last, whose conversations may begin or go on elsewhere.
+    """
+    fields = [("conv_id", pa.int64()), ("part", pa.int32()), ("block", pa.int32()), ("formatted", pa.string()),
+              ("mask", _SPANS), ("opens", pa.bool_()), ("closes", pa.bool_()), ("edge", pa.int32())]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _, render, name, _ = streamed(template)
+        part, number, now, out, opens = TaskContext.get().partitionId(), 0, None, Sink(), True
+        ready, size = [], 0
+
+        def close(closes: bool) -> None:
+            nonlocal number, out, opens, size
+            ready.append({"conv_id": now[0], "part": part, "block": number, "formatted": "".join(out.parts),
+                          "mask": [{"start": a, "end": b} for a, b in out.spans], "opens": opens, "closes": closes,
+                          "edge": int(number == 0)})
+            number, size, out, opens = number + 1, size + out.length, Sink(), closes
+
+        for batch in batches:
+            for conv, role, text in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "role", "text"))):
+                if now is not None and now[0] != conv:
+                    close(True)
+                elif out.length > chars:
+                    close(False)
+                now = (conv,)
+                render({name: {"role": role, "text": text}}, out)
+                if size > 1 << 22:              # the last row stays: it may be the task's last
+                    yield _batch_of(ready[:-1], fields)
+                    ready, size = ready[-1:], 0
+        if now is not None:
+            close(True)
+            ready[-1]["edge"] += 2
+        yield _batch_of(ready, fields)
+    return run
+
+
+def formatted(conversations: DataFrame, template: str = TEMPLATE, chars: int = BLOCK_CHARS) -> DataFrame:
+    """(conv_id, block, formatted, mask, opens, closes) of all conversations (rows conv_id, turn, role, text).
+
+    A conversation's text is that of its blocks in their order; the mask counts from each
+    block's start.  Messages are range-partitioned by conversation and turn, so a conversation
+    of very many is shared by several tasks and none holds more than a block of it.  (A
+    template that looks at other messages, or at the loop's state, needs its conversations
+    whole: there each is one block, in one task's memory.)
     """
     compile_template(template)
     rows = conversations.select(
         F.col("conv_id").cast("long").alias("conv_id"), "turn", F.coalesce("role", F.lit("")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text"))
-    return (rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-            .mapInArrow(_formatter(template), FORMATTED))
+    order = ["conv_id", "turn", "role", "text"]
+    shape = streamed(template)
+    if shape is None:
+        return rows.repartition("conv_id").sortWithinPartitions(*order).mapInArrow(_whole(template), FORMATTED)
+    found = stash(rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
+        _blocks(template, chars), _RENDERED), "chat-blocks")
+    # two rows a task at most: which conversations go on from task to task
+    edges = sorted((r["part"], r["edge"], r["conv_id"]) for r in found.where("edge > 0").select(
+        "part", "edge", "conv_id").collect())
+    ends = [(p, next(c for q, e, c in edges if q == p and e & 1), next(c for q, e, c in edges if q == p and e & 2))
+            for p in dict.fromkeys(p for p, _, _ in edges)]
+    goes_on = [a[2] == b[1] for a, b in zip(ends, ends[1:])]
+    facts = [(p, not (k and goes_on[k - 1]), not (k < len(goes_on) and goes_on[k])) for k, (p, _, _) in enumerate(ends)]
+    facts = F.broadcast(found.sparkSession.createDataFrame(facts, "part int, first_opens boolean, last_closes boolean"))
+    before, _, _, after = shape
+    opens = F.col("opens") & ((F.col("edge").bitwiseAND(1) == 0) | F.col("first_opens"))
+    closes = F.col("closes") & ((F.col("edge").bitwiseAND(2) == 0) | F.col("last_closes"))
+    # the first conversation of a task has its first block only at the task's start
+    rows = found.join(facts, "part").withColumns({"opens": opens, "closes": closes})
+    shift = F.when(F.col("opens"), F.lit(len(before))).otherwise(F.lit(0)).cast("long")
+    return rows.select(
+        "conv_id", (F.shiftleft(F.col("part").cast("long"), 32) + F.col("block")).alias("block"),
+        F.concat(F.when(F.col("opens"), F.lit(before)).otherwise(""), "formatted",
+                 F.when(F.col("closes"), F.lit(after)).otherwise("")).alias("formatted"),
+        F.transform("mask", lambda m: F.struct((m["start"] + shift).alias("start"), (m["end"] + shift).alias("end"))).alias("mask"),
+        "opens", "closes")
 
 
 _TURN = re.compile(r"<<SYS>>(?P<system>.*?)<</SYS>>|\[INST\](?P<user>.*?)\[/INST\]|\[ANS\](?P<assistant>.*?)</s>"
                    r"|\[TURN\](?P<role>.*?)\[:\](?P<text>.*?)\[/TURN\]", re.S)
 
 
-def turns_of(text: str) -> list[tuple[str, str]]:
-    """(role, text) of each turn of a text formatted with ``TEMPLATE``."""
-    out, at = [], len("<s>")
+def turns_of(text: str, opens: bool = True) -> list[tuple[str, str]]:
+    """(role, text) of each turn of a text (or of a block of one) formatted with ``TEMPLATE``."""
+    out, at = [], len("<s>") if opens else 0
     while at < len(text):
         m = _TURN.match(text, at)
         if not m:
@@ -459,24 +560,41 @@ def turns_of(text: str) -> list[tuple[str, str]]:
     return out
 
 
+_DIGEST = ("conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+
+
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks come sorted by conversation and number; one block is read at a time."""
+    every = under = None
+    n_turns = loss_chars = chars = 0
     for batch in batches:
         out = {k: [] for k in ("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")}
-        for conv, text, mask in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "formatted", "mask"))):
-            turns, loss = turns_of(text), [unescape(text[s["start"]: s["end"]]) for s in mask]
-            every, under = hashlib.sha256(), hashlib.sha256()
-            for role, said in turns:
+        for conv, text, mask, opens, closes in zip(*(batch.column(c).to_pylist() for c in (
+                "conv_id", "formatted", "mask", "opens", "closes"))):
+            if opens:
+                every, under, n_turns, loss_chars, chars = hashlib.sha256(), hashlib.sha256(), 0, 0, 0
+            for role, said in turns_of(text, opens):
                 every.update(f"{role}\n{said}\n".encode())
-            for part in loss:
-                under.update(part.encode())
-            for k, v in zip(out, (conv, len(turns), every.hexdigest(), sum(map(len, loss)), under.hexdigest(), len(text))):
-                out[k].append(v)
+                n_turns += 1
+            for span in mask:
+                said = unescape(text[span["start"]: span["end"]])
+                under.update(said.encode())
+                loss_chars += len(said)
+            chars += len(text)
+            if closes:
+                for k, v in zip(out, (conv, n_turns, every.hexdigest(), loss_chars, under.hexdigest(), chars)):
+                    out[k].append(v)
         yield pa.RecordBatch.from_pydict(out, pa.schema([
             ("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()),
             ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())]))
 
 
 def digests(written: DataFrame) -> DataFrame:
-    """What the formatted conversations hold, read back from text and mask alone."""
-    return written.mapInArrow(_digest, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, "
-                                       "loss_sha256 string, formatted_chars long")
+    """What the formatted conversations hold, read back from blocks and masks alone.
+
+    A conversation of one block is read where it is.  The blocks of others are streamed in
+    order through the hashes, which no order but this one can make.
+    """
+    alone = F.col("opens") & F.col("closes")
+    several = written.where(~alone).repartition("conv_id").sortWithinPartitions("conv_id", "block")
+    return written.where(alone).mapInArrow(_digest, _DIGEST).unionByName(several.mapInArrow(_digest, _DIGEST))

@@ -21,6 +21,7 @@ gives an empty result; other columns are not read.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -34,6 +35,8 @@ ACCESS = "AKIA[A-Z0-9]+"
 HEX = "[0-9a-f]{32,}"                   # a shorter run fails the rule, and no match starts inside a longer one
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _CHAR = "[A-Za-z0-9+/_=-]"
+BLOCK = 128                             # numbers that are summed one by one
+STRETCH = 1 << 14
 _FOUND = "array<struct<start:int,end:int,found:string>>"
 
 
@@ -47,21 +50,60 @@ class Settings:
     log_odds: float = 10.0              # one random token among 22,000 ordinary ones
 
 
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)`` with the value worked out once."""
+    return F.transform(F.array(value), then)[0]
+
+
+def _running(lengths: Column, at: Column) -> Column:
+    """The sums before each of ``lengths``, from ``at`` on; its cost grows with their number squared."""
+    start = F.struct(at.cast("int").alias("at"), F.array().cast("array<int>").alias("out"))
+    return F.aggregate(lengths, start, lambda s, n: F.struct(
+        (s["at"] + n).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")), lambda s: s["out"])
+
+
+def running_sums(lengths: Column, block: int = BLOCK) -> Column:
+    """The sum of all numbers before each one, in blocks, so that very many are no trouble."""
+    def joined(parts: Column) -> Column:
+        totals = F.transform(parts, lambda p: F.aggregate(p, F.lit(0), lambda s, n: s + n))
+        return F.flatten(F.zip_with(parts, _running(totals, F.lit(0)), _running))
+
+    def of(numbers: Column) -> Column:
+        last = F.ceil(F.size(numbers) / F.lit(block)).cast("int") - 1
+        blocks = F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(numbers, k * block + 1, F.lit(block)))
+        return F.when(F.size(numbers) <= block, _running(numbers, F.lit(0))).otherwise(_let(blocks, joined))
+    return _let(lengths, of)
+
+
 def located(text: Column, pattern: str) -> Column:
     """Every match of ``pattern`` with its offsets; texts without one are passed over quickly."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    before = F.slice(F.split(text, pattern, -1), 1, F.size(found))
-    pairs = F.zip_with(before, found, lambda b, f: F.struct(b.alias("b"), f.alias("f")))
-
-    def step(state: Column, pair: Column) -> Column:
-        start = state["at"] + F.char_length(pair["b"])
-        end = start + F.char_length(pair["f"])
-        row = F.struct(start.alias("start"), end.alias("end"), pair["f"].alias("found"))
-        return F.struct(end.alias("at"), F.concat(state["out"], F.array(row)).alias("out"))
-
-    none = F.array().cast(_FOUND)
-    spans = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda s: s["out"])
-    return F.when(text.rlike(pattern), spans).otherwise(none)
+    before = F.transform(F.split(text, pattern, -1), F.char_length)
+
+    def spans(found: Column) -> Column:
+        # a match starts behind all earlier text, between matches and of them
+        lengths = F.zip_with(F.slice(before, 1, F.size(found)), found, lambda b, f: F.struct(
+            b.alias("b"), F.char_length(f).alias("f")))
+        return _let(lengths, lambda ls: F.zip_with(
+            F.zip_with(ls, running_sums(F.transform(ls, lambda x: x["b"] + x["f"])), lambda x, at: F.struct(
+                (at + x["b"]).alias("start"), (at + x["b"] + x["f"]).alias("end"))),
+            found, lambda s, f: F.struct(s["start"].alias("start"), s["end"].alias("end"), f.alias("found"))))
+
+    return F.when(text.rlike(pattern), _let(found, spans)).otherwise(F.array()).cast(_FOUND)
+
+
+def apart(tokens: Column, base: Column, few: int = 4096) -> Column:
+    """The tokens that touch no base span; many of both are compared within stretches of ``STRETCH`` code points."""
+    touch = lambda b, t: (b["start"] < t["end"]) & (t["start"] < b["end"])
+    stretch = F.lit(STRETCH)
+    last = F.array_max(F.transform(base, lambda b: b["end"]))
+    by_stretch = F.transform(F.sequence(F.lit(0), F.floor(last / stretch).cast("int")), lambda k: F.filter(
+        base, lambda b: (b["start"] < (k + 1) * stretch) & (b["end"] > k * stretch)))
+    near = lambda t: F.sequence(F.floor(t["start"] / stretch).cast("int"), F.floor(t["end"] / stretch).cast("int"))
+    many = _let(by_stretch, lambda parts: F.filter(tokens, lambda t: ~F.exists(near(t), lambda k: F.coalesce(
+        F.exists(F.get(parts, k), lambda b: touch(b, t)), F.lit(False)))))
+    return F.when(F.size(tokens) * F.size(base).cast("bigint") <= few,
+                  F.filter(tokens, lambda t: ~F.exists(base, lambda b: touch(b, t)))).otherwise(many)
 
 
 def _of_kind(spans: Column, kind: str) -> Column:
@@ -84,8 +126,7 @@ def rules(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     values = F.array_distinct(F.concat(F.transform("assign", value), F.transform("access", lambda s: s["found"]),
                                        F.transform("hex", lambda s: s["found"])))
     rows = rows.select("doc_id", base.alias("base"), values.alias("values"), "long")
-    alone = F.filter("long", lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
-    return stash(rows.select("doc_id", "base", "values", alone.alias("tokens")), "secret-rules")
+    return stash(rows.select("doc_id", "base", "values", apart(F.col("long"), F.col("base")).alias("tokens")), "secret-rules")
 
 
 def pair_counts(words: DataFrame) -> DataFrame:

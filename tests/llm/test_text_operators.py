@@ -6,6 +6,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from pyspark.sql import functions as F
+
 from riskmart.llm import chat_template, huffman_ids, secret_scan, suffix_dedup, viterbi_pieces, weak_pii
 from riskmart.llm.common import new_path
 from riskmart.llm.queries import PIECES, WORD_BPE
@@ -189,6 +191,74 @@ def test_chats(spark):
     assert chat_template.formatted(chats.limit(0)).count() == 0
 
 
+def test_a_conversation_over_many_tasks(spark):
+    rng = random.Random(11)
+    say = lambda: "".join(rng.choices("ab </s>[INST]\\é\n", k=rng.randrange(0, 60)))
+    roles = ["user", "assistant", "system", "tool", None]
+    rows = [(c, t, rng.choice(roles), say()) for c, n in ((1, 3000), (None, 900), (7, 1), (2, 4), (9, 2500)) for t in range(n)]
+    rows += [(c, t, rng.choice(roles), say()) for c in range(100, 900) for t in range(rng.randrange(1, 6))]
+    shuffled = random.Random(1).sample(rows, len(rows))
+    chats = spark.createDataFrame(shuffled, "conv_id long, turn long, role string, text string").repartition(16)
+    for chars in (1, 500, 1 << 18):
+        made = chat_template.formatted(chats, chars=chars)
+        if chars < 1000:
+            assert made.where("conv_id = 1").count() > 100
+        got = chat_template.digests(made).collect()
+        assert by_text(tuple(r)[:5] for r in got) == by_text((c, *v) for c, v in brute.chats(rows).items())
+    whole = chat_template.compile_template(chat_template.TEMPLATE)
+    for conv in (1, 2, None):
+        messages = [{"role": r or "", "text": t} for c, _, r, t in rows if c == conv]
+        blocks = sorted(chat_template.formatted(chats, chars=500).where(F.col("conv_id").eqNullSafe(F.lit(conv))).collect(),
+                        key=lambda r: r["block"])
+        text, spans = whole(messages)
+        assert "".join(b["formatted"] for b in blocks) == text
+        at, found = 0, []
+        for b in blocks:
+            found += [(at + m["start"], at + m["end"]) for m in b["mask"]]
+            at += len(b["formatted"])
+        assert found == spans and [b["opens"] for b in blocks].count(True) == [b["closes"] for b in blocks].count(True) == 1
+
+
+def test_templates_that_look_around_are_rendered_whole(spark):
+    t = "{% for m in messages %}{{ m.text }}{% if not loop.last %}, {% endif %}{% endfor %}."
+    assert chat_template.streamed(t) is None and chat_template.streamed(chat_template.TEMPLATE)
+    chats = spark.createDataFrame([(1, k, "user", str(k)) for k in range(4)], "conv_id long, turn long, role string, text string")
+    assert [r["formatted"] for r in chat_template.formatted(chats, t).collect()] == ["0, 1, 2, 3."]
+
+
+def test_secrets_in_a_long_text(spark):
+    rng = random.Random(12)
+    token = lambda k: "".join(rng.choices("abcdefghijkLMNOPQRS0123456789", k=k))
+    parts = []
+    while sum(map(len, parts)) < 3_000_000:
+        parts.append(rng.choice([f"password = {token(24)}", token(30), "0123456789abcdef" * 3, "é " * 20, "word word",
+                                 "AKIA" + "A1B2" * 5, f"token: '{token(9)}'"]) + " ")
+    text = "".join(parts)
+    made = spark.createDataFrame([(1, text), (2, "password: abcdefgh")], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in secret_scan.scan(made).collect()}
+    spans = brute.secrets(text)
+    base = brute.joined(spans, ["assign", "access", "hex"])
+    assert got[1]["base_sha256"] == brute.sha(base) and got[1]["n_assign"] == sum(s[0] == "assign" for s in spans)
+    assert got[2]["spans"] == "assign:0:18"
+
+
+def test_running_sums_and_tokens_apart(spark):
+    rng = random.Random(13)
+    rows = []
+    for n in (0, 1, 2, 3, 4, 5, 16, 17, 200):
+        lengths = [rng.randrange(0, 9) for _ in range(n)]
+        at = sorted(rng.sample(range(100_000), 2 * n))
+        rows.append((lengths, [(a, a + rng.randrange(1, 900)) for a in at[::2]], [(a, a + rng.randrange(1, 40)) for a in at[1::2]]))
+    df = spark.createDataFrame(rows, "n array<int>, base array<struct<start:int,end:int>>, tokens array<struct<start:int,end:int>>")
+    got = df.select("*", secret_scan.running_sums(F.col("n"), 4).alias("sums"),
+                    secret_scan.apart(F.col("tokens"), F.col("base"), 0).alias("many"),
+                    secret_scan.apart(F.col("tokens"), F.col("base"), 1 << 30).alias("few")).collect()
+    for r in got:
+        assert r["sums"] == [sum(r["n"][:k]) for k in range(len(r["n"]))]
+        alone = [t for t in r["tokens"] if not any(b["start"] < t["end"] and t["start"] < b["end"] for b in r["base"])]
+        assert r["many"] == r["few"] == alone
+
+
 def test_template_language():
     t = "{% set a = 'x' + 1 %}{% for m in messages %}{% if loop.first and not loop.last %}{{ m.text|upper }}" \
         "{% elif 'q' in m.text %}{% generation %}{{ m.text }}{% endgeneration %}{% else %}-{% endif %}{% endfor %}{{ a }}"
