@@ -7,8 +7,9 @@ suffixes to sort are dealt so that equal strings meet:
 1. A string's anchor is its ``GRAM``-byte substring of the smallest hash, the leftmost
    of equals.  Equal strings have equal anchors at equal offsets.  Neighbouring strings
    of one anchor occurrence form a segment of at most 64 string starts.
-2. Anchors that occur once in the corpus have no repeated strings.  A bitmap of fixed
-   size of the others (false hits only cost time) thins out the segments at the source.
+2. Anchors that occur once in the corpus have no repeated strings.  A bitmap of the
+   others, sized by their number up to 32 MB (false hits only cost time), thins out the
+   segments at the source.
 3. Equal segments are collapsed: in all but the first occurrence every string is
    repeated.  Where an anchor has several different segments, their suffixes are
    sorted: multikey quicksort by 8-byte words to a shallow depth, then blind tries:
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 from riskmart.llm.common import discard, mix, raw_texts, stash, whole_text
 
 LENGTH, GRAM, STARTS = 100, 37, 64          # a string has 64 places for a gram of 37 bytes
-BITMAP_BITS = 26
+BITMAP_BITS = (20, 28)                      # the fewest and the most, as powers of two; 32 MB at most
 GROUP_SEGMENTS = 50_000                     # different segments of an anchor that one task sorts
 BATCH_BYTES = 6 << 20
 PIECE = (1 << 20) - 256                     # string starts handled at once; positions fit 20 bits
@@ -88,18 +89,20 @@ class Segments:
 
 # -- the bitmap ------------------------------------------------------------------------------
 
-def bitmap(hashes: DataFrame, column: str) -> np.ndarray:
-    """A bit for each value of the top ``BITMAP_BITS`` bits of a hash: 2^20 words at most reach the driver."""
-    word = F.shiftrightunsigned(column, 64 - BITMAP_BITS + 6).alias("word")
-    bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned({column}, {64 - BITMAP_BITS}) & 63 as int))")
+def bitmap(hashes: DataFrame, column: str, count: int) -> np.ndarray:
+    """About 16 bits for each of ``count`` hashes, one set for each by its low bits: 2^22 words at most
+    reach the driver.  (An anchor's high bits are small, since it is the least of many.)"""
+    size = min(max((16 * count).bit_length(), BITMAP_BITS[0]), BITMAP_BITS[1])
+    word = F.expr(f"shiftright({column} & {(1 << size) - 1}L, 6)").alias("word")
+    bit = F.expr(f"shiftleft(1L, cast({column} & 63 as int))")
     rows = hashes.groupBy(word).agg(F.bit_or(bit).alias("bits")).toArrow()
-    out = np.zeros(1 << (BITMAP_BITS - 6), np.int64)
+    out = np.zeros(1 << (size - 6), np.int64)
     out[rows["word"].to_numpy()] = rows["bits"].to_numpy()
     return out.view(np.uint64)
 
 
 def in_bitmap(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    at = hashes >> np.uint64(64 - BITMAP_BITS)
+    at = hashes & np.uint64(len(bits) * 64 - 1)
     return (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
 
 
@@ -320,7 +323,7 @@ def removals(docs: DataFrame, group_segments: int = GROUP_SEGMENTS) -> DataFrame
 
     shared = stash(texts.select("text").mapInArrow(_grams, "gram long").groupBy("gram").agg(F.count("*").alias("n"))
                    .where("n > 1").select("gram"), "shared-anchors")
-    bits = spark.sparkContext.broadcast(bitmap(shared, "gram"))
+    bits = spark.sparkContext.broadcast(bitmap(shared, "gram", shared.count()))
     found = stash(texts.mapInArrow(_occurrences(bits), _OCCURRENCE), "occurrences")
     order = F.struct("id", "text_hash", "anchor")
     segments = stash(found.groupBy("gram", "key").agg(F.min(order).alias("first"), F.count("*").alias("n"))
@@ -329,7 +332,7 @@ def removals(docs: DataFrame, group_segments: int = GROUP_SEGMENTS) -> DataFrame
     needed = stash(segments.drop("n").join(several, "gram"), "needed-segments")
 
     places = needed.select("gram", "key", "id", "text_hash", "anchor").mapInArrow(_hash_places, "place long")
-    wanted = spark.sparkContext.broadcast(bitmap(places, "place"))
+    wanted = spark.sparkContext.broadcast(bitmap(places, "place", needed.count()))
     contents = texts.mapInArrow(_contents(wanted), "gram long, key long, bytes binary")
     contents = stash(contents.dropDuplicates(["gram", "key"]).join(needed, ["gram", "key"]), "contents")
     masks = _sorted_masks(contents.where(F.col("kinds") <= group_segments))
