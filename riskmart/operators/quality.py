@@ -8,9 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskmart.functions.derived import percent, round_half_away
-
-# The staged card attributes expected as integers.
-INTEGER_CARD_COLUMNS = ("card2", "card3", "card5")
+from riskmart.schema import CARD_INT_COLUMNS
 
 
 def split_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -40,9 +38,6 @@ def null_counts(df: DataFrame, columns: list[str]) -> DataFrame:
                        percent("null_count", "__total").alias("null_pct"))
 
 
-null_rates = null_counts      # the report's name for the same figures
-
-
 def identity_coverage(transactions: DataFrame, identity: DataFrame) -> DataFrame:
     """Per split of the transactions: rows, rows with an identity row, percent (1 decimal)."""
     t = transactions.select("split", "transaction_id").alias("t")
@@ -71,7 +66,7 @@ SQL_TYPE_NAMES = {"tinyint": "TINYINT", "smallint": "SMALLINT", "int": "INTEGER"
                   "boolean": "BOOLEAN", "date": "DATE", "timestamp": "TIMESTAMP WITH TIME ZONE"}
 
 
-def type_check(transactions: DataFrame, columns=INTEGER_CARD_COLUMNS) -> DataFrame:
+def type_check(transactions: DataFrame, columns=CARD_INT_COLUMNS) -> DataFrame:
     """(column_name, data_type, status): OK when the staged column has an integer type.
 
     Read from the table's catalog description (``DESCRIBE``), like a query on
