@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import hashlib
 import os
@@ -13,11 +14,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = "1000"             # rows of an Arrow batch: whole texts, so fewer than Spark's 10,000
 
 
 def find_package(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver did (one machine or a shared
-    installation; elsewhere ship it with ``--py-files``)."""
+    installation; elsewhere ship it with ``--py-files``), and send them texts in small batches
+    where the session sets no size of its own."""
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, BATCH_ROWS)
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     env = spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
@@ -90,17 +99,67 @@ def repeats_numbered(df: DataFrame, count: str = "copies") -> DataFrame:
               .drop(count))
 
 
+def as_rows(docs: DataFrame, **own: Column) -> DataFrame:
+    """``docs`` with each row as one struct ``row``, beside columns worked out from it: whatever names
+    ``docs`` has, they clash with none of ours."""
+    return docs.select(F.struct(*(F.col(_quoted(c)) for c in docs.columns)).alias("row"),
+                       *(c.alias(name) for name, c in own.items()))
+
+
+def rows_back(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` out of the structs of :func:`as_rows`."""
+    return rows.select(*(F.col("row")[c].alias(c) for c in docs.columns))
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _sortable(column: Column, kind: T.DataType) -> Column:
+    """A column to order by; maps and variants, which have no order, by their JSON text."""
+    def ordered(t: T.DataType) -> bool:
+        if isinstance(t, T.ArrayType):
+            return ordered(t.elementType)
+        if isinstance(t, T.StructType):
+            return all(ordered(f.dataType) for f in t)
+        return not isinstance(t, (T.MapType, T.VariantType))
+    return column if ordered(kind) else F.to_json(F.struct(column.alias("c")))
+
+
 def first_of_repeats(docs: DataFrame, key: Column, stays: DataFrame, every: Column | None = None) -> DataFrame:
     """The rows of ``docs`` whose doc_id and ``key`` are in ``stays`` (_id, _key), with all their columns.
 
     Of rows that repeat both, the first by the other columns stays; all do where ``every`` holds.
     """
-    found = docs.withColumns({"_row_key": key, "_every": F.lit(False) if every is None else every}).join(
-        stays, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_row_key") == F.col("_key")))
-    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    rows = as_rows(docs, row_id=F.col("doc_id").cast("long"), row_key=key,
+                   row_every=F.lit(False) if every is None else every)
+    found = rows.join(stays.select("_id", "_key"), F.col("row_id").eqNullSafe(F.col("_id")) & (
+        F.col("row_key") == F.col("_key")))
+    others = [_sortable(F.col("row")[f.name], f.dataType) for f in docs.schema if f.name not in ("doc_id", "text")]
     order = Window.partitionBy("_id", "_key").orderBy(*others, "_id")
-    return found.withColumn("_place", F.row_number().over(order)).where("_place = 1 or _every").select(
-        *(F.col(f"`{c}`") for c in docs.columns))
+    return rows_back(found.withColumn("_place", F.row_number().over(order)).where("_place = 1 or row_every"), docs)
+
+
+# -- memory of Python workers ----------------------------------------------------------
+
+def _trim() -> None:
+    """Give what this process no longer uses back to the machine."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass                                            # a C library that has no such call
+
+
+def tidied(run):
+    """``run`` for mapInArrow; at a task's end its memory is returned, since workers live on for later stages."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            _trim()
+    return task
 
 
 # -- text columns inside Arrow tasks -------------------------------------------------

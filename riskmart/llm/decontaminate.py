@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.llm.common import WordHashes, raw_texts, shingle_hashes, stash, whole_text
+from riskmart.llm.common import WordHashes, as_rows, raw_texts, rows_back, shingle_hashes, stash, tidied, whole_text
 
 EDGES = b"".join(bytes([c]) for c in range(33, 127) if not chr(c).isalnum())
 MATCH, MISMATCH, GAP = 2, -1, 1
@@ -195,7 +195,7 @@ def matches(spark: SparkSession, docs: DataFrame, benchmark: DataFrame,
     found = []
     for rows in blocks_of(benchmark, settings.block_words):
         items = Items(rows, settings.n)
-        regions = stash(texts.mapInArrow(_finder(rows, settings.n), _REGION), "regions")
+        regions = stash(texts.mapInArrow(tidied(_finder(rows, settings.n)), _REGION), "regions")
         # a row for each n-gram of the block at most
         counts = (regions.select("doc_id", "text_hash", F.explode("grams").alias("g")).groupBy("g")
                   .agg(F.count("*").alias("n")).collect())
@@ -204,7 +204,7 @@ def matches(spark: SparkSession, docs: DataFrame, benchmark: DataFrame,
             frequency[g] = n
         gram, of_item = items.seeds(frequency, settings.spread)
         names = spark.createDataFrame(list(enumerate(items.ids)), "item long, item_id long")
-        found.append(regions.mapInArrow(_aligner(rows, settings, gram, of_item), _PAIR)
+        found.append(regions.mapInArrow(tidied(_aligner(rows, settings, gram, of_item)), _PAIR)
                      .join(names, "item").drop("item"))
     every = found[0]
     for more in found[1:]:
@@ -219,5 +219,6 @@ def clean(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, settings:
     """The rows of ``docs`` that hold no test item, with all their columns."""
     hits = stash(matches(spark, docs, benchmark, settings).select(
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct(), "leaks")
-    return docs.join(hits, F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))
-                     & (F.xxhash64(whole_text()) == F.col("_hash")), "left_anti")
+    rows = as_rows(docs, row_id=F.col("doc_id").cast("long"), row_hash=F.xxhash64(whole_text()))
+    return rows_back(rows.join(hits, F.col("row_id").eqNullSafe(F.col("_id")) & (
+        F.col("row_hash") == F.col("_hash")), "left_anti"), docs)

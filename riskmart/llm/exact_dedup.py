@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskmart.llm.common import first_of_repeats, raw_texts, repeats_numbered, stash, whole_text
+from riskmart.llm.common import first_of_repeats, raw_texts, repeats_numbered, stash, tidied, whole_text
 
 PRIME = (1 << 31) - 1
 POINTS = (1_103_515_245, 1_566_083_941, 742_938_285, 1_812_433_253)
@@ -117,12 +117,12 @@ def fingerprints(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """(doc_id, f1, f2, n_bytes, text_sha256) of every row of ``docs`` (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
     whole = docs.where(F.octet_length("text") <= chunk_bytes).mapInArrow(
-        _hash_whole, "doc_id long, f1 long, f2 long, n_bytes long, text_sha256 string")
+        tidied(_hash_whole), "doc_id long, f1 long, f2 long, n_bytes long, text_sha256 string")
     parts = (docs.where(F.octet_length("text") > chunk_bytes)
              .mapInArrow(_cutter(chunk_bytes),
                          "row long, doc_id long, text_sha256 string, n_bytes long, at long, chunk binary")
              .repartition("row", "at")
-             .mapInArrow(_hash_chunks, "row long, doc_id long, text_sha256 string, n_bytes long, "
+             .mapInArrow(tidied(_hash_chunks), "row long, doc_id long, text_sha256 string, n_bytes long, "
                                        "v0 long, v1 long, v2 long, v3 long"))
     value = [(F.sum(f"v{k}") % PRIME).alias(f"v{k}") for k in range(4)]
     parts = parts.groupBy("row", "doc_id", "text_sha256", "n_bytes").agg(*value)
@@ -194,13 +194,13 @@ def decide(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, bucket_bytes: int =
              .withColumn("bucket", F.pmod(F.xxhash64("id", F.lit(7)), F.col("buckets")).cast("int"))
              .select("doc_id", "text_sha256", *KEY, "bucket", "buckets", "text"))
     key = [*KEY, "bucket"]
-    found = stash(texts.repartition(*key).sortWithinPartitions(*key).mapInArrow(_classes, _CLASSED), "classes")
+    found = stash(texts.repartition(*key).sortWithinPartitions(*key).mapInArrow(tidied(_classes), _CLASSED), "classes")
 
     # first texts of the buckets of a large group, compared among themselves
     firsts = (found.where("head is not null")
               .select(F.col("bucket").cast("long").alias("doc_id"), F.col("class").cast("string").alias("text_sha256"),
                       *KEY, F.lit(0).alias("bucket"), F.lit(1).alias("buckets"), F.col("head").alias("text")))
-    merged = (firsts.repartition(*KEY).sortWithinPartitions(*KEY).mapInArrow(_classes, _CLASSED)
+    merged = (firsts.repartition(*KEY).sortWithinPartitions(*KEY).mapInArrow(tidied(_classes), _CLASSED)
               .select(*KEY, F.col("doc_id").cast("int").alias("bucket"),
                       F.col("text_sha256").cast("int").alias("class"), F.col("class").alias("merged")))
     found = (found.drop("head").join(stash(merged, "class-heads"), [*KEY, "bucket", "class"], "left")

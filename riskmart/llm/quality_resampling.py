@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskmart.llm.common import WordHashes, raw_texts, stash, whole_text
+from riskmart.llm.common import WordHashes, as_rows, raw_texts, rows_back, stash, tidied, whole_text
 
 WORD_BUCKETS, SHAPE_BUCKETS = 1 << 16, 1 << 14
 BUCKETS = WORD_BUCKETS + SHAPE_BUCKETS
@@ -126,7 +126,7 @@ def toxic_words(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     texts = texts.where("toxic is not null")
     sizes = {(r["toxic"], r["part"]): r["n"] for r in texts.groupBy("toxic", "part").agg(F.count("*").alias("n")).collect()}
     counts = texts.select("text", F.col("toxic").cast("int").alias("toxic"), "part").mapInArrow(
-        _word_counts, "word long, " + ", ".join(f"{c} long" for c in WORD_COUNTS)).groupBy("word").agg(
+        tidied(_word_counts), "word long, " + ", ".join(f"{c} long" for c in WORD_COUNTS)).groupBy("word").agg(
         *(F.sum(c).alias(c) for c in WORD_COUNTS))
 
     def weight(part: int):
@@ -198,7 +198,7 @@ def scores(docs: DataFrame, labels: DataFrame, settings: Settings = Settings())
                         whole_text().alias("text")).join(known, F.col("doc_id") == F.col("id"), "left")
     fold = F.when(F.col("good"), F.col("part"))
     counts = texts.select("text", fold.alias("fold")).mapInArrow(
-        _count, "bucket long, raw long, fold0 long, fold1 long").groupBy("bucket").agg(
+        tidied(_count), "bucket long, raw long, fold0 long, fold1 long").groupBy("bucket").agg(
         *(F.sum(c).alias(c) for c in ("raw", "fold0", "fold1"))).collect()
     total = np.zeros((3, BUCKETS))
     for bucket, *n in counts:
@@ -211,7 +211,7 @@ def scores(docs: DataFrame, labels: DataFrame, settings: Settings = Settings())
     if not total[1:].sum():
         models[:] = 0
     found = stash(texts.select("doc_id", "text_hash", "text", "good", "toxic", F.col("part").alias("scored_by")).mapInArrow(
-        _scorer(models, *toxic_words(texts)),
+        tidied(_scorer(models, *toxic_words(texts))),
         "doc_id long, text_hash long, good boolean, toxic boolean, ratio double, toxicity double"), "quality-scores")
     edges = np.linspace(-12, 4, 4097)
     bins = F.least(F.greatest(F.floor((F.col("ratio") + 12) * 256), F.lit(0)), F.lit(4095)).cast("int")
@@ -289,5 +289,6 @@ def kept(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     """The rows of ``docs`` that the sample keeps, with all their columns."""
     stays = stash(sampled(docs, labels, settings).select(
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct(), "quality-kept")
-    return docs.join(stays, F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))
-                     & (F.xxhash64(whole_text()) == F.col("_hash")), "left_semi")
+    rows = as_rows(docs, row_id=F.col("doc_id").cast("long"), row_hash=F.xxhash64(whole_text()))
+    return rows_back(rows.join(stays, F.col("row_id").eqNullSafe(F.col("_id")) & (
+        F.col("row_hash") == F.col("_hash")), "left_semi"), docs)

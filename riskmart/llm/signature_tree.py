@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskmart.llm.common import (WordHashes, components, discard, first_of_repeats, mix, raw_texts, shingle_set, stash,
-                                 whole_text)
+                                 tidied, whole_text)
 
 
 @dataclass(frozen=True)
@@ -249,7 +249,7 @@ def _walk(rows: DataFrame, sets: DataFrame, percent: int, tag: str) -> DataFrame
     key = ["cluster", "cell"]
     rows = rows.select(*key, "side", "label", "node").join(sets, "node")
     return stash(rows.repartition(*key).sortWithinPartitions(*key)
-                 .mapInArrow(_cells(percent), "a long, b long"), tag)
+                 .mapInArrow(tidied(_cells(percent)), "a long, b long"), tag)
 
 
 # -- the join ------------------------------------------------------------------------------
@@ -259,7 +259,7 @@ def classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     s, percent = settings, settings.percent
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(whole_text()).alias("text_hash"),
                         whole_text().alias("text"))
-    sets = stash(texts.mapInArrow(_sets(s.words, percent), _SETS).withColumn(
+    sets = stash(texts.mapInArrow(tidied(_sets(s.words, percent)), _SETS).withColumn(
         "row", F.monotonically_increasing_id()), "shingle-sets")
     same = ["n", "s1", "s2"]
     nodes = stash(sets.where("n > 0").groupBy(*same).agg(F.min("row").alias("node"), F.min("doc_id").alias("least"),
@@ -285,7 +285,7 @@ def classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     once = texts if repeats.isEmpty() else texts.dropDuplicates(["doc_id", "text_hash"])
     wanted = open_.select("node", F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
     whole = once.join(wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
-    whole = stash(whole.select("node", "text").mapInArrow(_whole_sets(s.words), "node long, tokens array<long>"),
+    whole = stash(whole.select("node", "text").mapInArrow(tidied(_whole_sets(s.words)), "node long, tokens array<long>"),
                   "open-sets")
 
     # clusters: nodes that share one of their rarest shingles
