@@ -52,14 +52,14 @@ class LetterMerges:
 
     def ids(self, word: bytes) -> list[int] | None:
         """Ids of a word; None where it is more than plain letters."""
-        text = word.decode("utf-8", "replace")
-        if not text.isalpha() or len(word) > 200:
+        if len(word) > 200:
             return None
-        if not word.isascii():
-            text = unicodedata.normalize("NFC", text)
-            if not text.isalpha() or not text.islower():
-                return None                             # capitals: the library lowers letter by letter
-            word = text.encode()
+        if word.isalpha() and word.islower():           # of bytes: plain ASCII letters
+            return self.encode_piece(word[:-1] + self.final[word[-1]])
+        text = unicodedata.normalize("NFC", word.decode("utf-8", "replace"))
+        if not text.isalpha() or not text.islower():
+            return None                                 # capitals: the library lowers letter by letter
+        word = text.encode()
         end = self.final.get(word[-1])
         if end is None or min(word) < 97:
             return None
@@ -103,7 +103,7 @@ class WordwiseBpe:
         words = [(t if b"<|" in t else t.lower()).split() for t in texts]
         self.known.make_room()
         split, plain = {}, []
-        for w in self.known.unknown(words):
+        for w in set().union(*words).difference(self.known).difference(self.known.older):
             stem = w.rstrip(b".,")
             if stem != w and (stem[-1:] in _STEM_ENDS or stem.decode("utf-8", "replace")[-1:].isalpha()):
                 split[w] = (stem, w[len(stem):])
