@@ -153,3 +153,40 @@ def test_bucketed_layers_join_without_shuffle(spark, tmp_dir):
         assert "SortMergeJoin" in plan and "Exchange hashpartitioning" not in smj
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_partitioned_layers_are_written_without_a_sort(spark, tmp_dir, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    from riskmart.session import WRITERS
+    from riskmart.sources.tables import LayerStore
+    before, seen, plain = spark.conf.get(WRITERS), [], DataFrameWriter.parquet
+
+    def parquet(writer, path):
+        seen.append(int(spark.conf.get(WRITERS)))
+        plain(writer, path)
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    rows = spark.sql("SELECT id, CASE id % 3 WHEN 0 THEN 'train' WHEN 1 THEN 'test' END AS split FROM range(50)")
+    try:
+        for own in (0, 7):                      # a session without our settings, and one of a value of its own
+            spark.conf.set(WRITERS, own)
+            written = LayerStore(spark, f"{tmp_dir}/{own}").write("rows", rows, "split")
+            assert sorted(map(str, written.collect())) == sorted(map(str, rows.collect()))
+            assert int(spark.conf.get(WRITERS)) == own
+    finally:
+        spark.conf.set(WRITERS, before)
+    assert seen == [4, 7]
+
+
+def test_identity_that_compresses_well_is_not_broadcast(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from riskmart.operators.enrich import enrich
+    from riskmart.schema import IDENTITY_TYPES, TRANSACTION_TYPES
+    from riskmart.sources.conform import conform
+    ids = spark.range(100_001).select(F.col("id").alias("transaction_id"), F.lit("train").alias("split"))
+    conform(ids, IDENTITY_TYPES).write.parquet(f"{tmp_dir}/identity")
+    identity = spark.read.parquet(f"{tmp_dir}/identity")
+    transactions = conform(ids, TRANSACTION_TYPES)
+    assert "SortMergeJoin" in _plan(enrich(transactions, identity))
+    assert "BroadcastHashJoin" in _plan(enrich(transactions, identity.limit(1_000)))
