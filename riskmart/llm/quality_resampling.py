@@ -30,6 +30,7 @@ or where no cut parts them, none is toxic; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -44,8 +45,8 @@ from riskmart.llm.common import WordHashes, as_rows, raw_texts, rows_back, stash
 WORD_BUCKETS, SHAPE_BUCKETS = 1 << 16, 1 << 14
 BUCKETS = WORD_BUCKETS + SHAPE_BUCKETS
 _EDGES = b"".join(bytes([c]) for c in range(33, 127) if not chr(c).isalnum())
-_SHAPE = ((re.compile(rb"[a-z\x80-\xff]+"), b"a"), (re.compile(rb"[A-Z]+"), b"A"), (re.compile(rb"[0-9]+"), b"9"),
-          (re.compile(rb"(.)\1+", re.S), rb"\1"))
+_KINDS = bytes(97 if 97 <= c < 123 or c >= 128 else 65 if 65 <= c < 91 else 57 if 48 <= c < 58 else c for c in range(256))
+_RUNS = re.compile(rb"(.)\1+", re.S)
 
 
 @dataclass(frozen=True)
@@ -56,15 +57,25 @@ class Settings:
     seed: int = 17
 
 
+class Shapes(WordHashes):
+    """The kind of each byte of a word -> hash of its shape in the high half; words have few shapes."""
+
+    def value(self, kinds: bytes) -> int:
+        return (super().value(b"\1" + _RUNS.sub(rb"\1", kinds)) % (1 << 30)) << 32
+
+
 class Grams(WordHashes):
     """Bytes of a word -> hashes of the word (low half) and of its shape (high half), as one number."""
 
+    def __init__(self):
+        super().__init__()
+        self.shapes = Shapes(100_000)
+        self.begun = hashlib.blake2b(b"\0", digest_size=8, key=self.seed)
+
     def value(self, word: bytes) -> int:
-        shape = word
-        for pattern, by in _SHAPE:
-            shape = pattern.sub(by, shape)
-        bare = super().value(b"\0" + word.lower().strip(_EDGES)) % (1 << 32)
-        return bare | (super().value(b"\1" + shape) % (1 << 30)) << 32
+        bare = self.begun.copy()
+        bare.update(word.lower().strip(_EDGES))
+        return int.from_bytes(bare.digest()[:4], "little") | self.shapes[word.translate(_KINDS)]
 
     def words(self, data: bytes) -> np.ndarray:
         """The hashes of a text's words, in order."""

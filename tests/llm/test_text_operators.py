@@ -270,3 +270,22 @@ def test_template_language():
     for bad in ("{{ messages.__class__ }}", "{{ open }}", "{{ m|eval }}", "{% import os %}", "{{ 1 + }}"):
         with pytest.raises(chat_template.TemplateError):
             chat_template.compile_template(bad)([])
+
+
+def test_word_hashes_follow_their_plain_definition():
+    import re
+
+    from riskmart.llm.common import WordHashes
+    from riskmart.llm.quality_resampling import Grams
+    words = [b"", b"word", b"Word,", b"...", b"A--b", b"aA1!!", b"x\xc3\xa9Y\xff", b"e.g.", b"(2024)", b"\x00\x80"]
+    plain, grams = WordHashes(), Grams()
+    for w in words:
+        shape = w
+        for pattern, by in ((rb"[a-z\x80-\xff]+", b"a"), (rb"[A-Z]+", b"A"), (rb"[0-9]+", b"9"), (rb"(?s)(.)\1+", rb"\1")):
+            shape = re.sub(pattern, by, shape)
+        edges = bytes(c for c in range(33, 127) if not chr(c).isalnum())
+        assert grams.value(w) == (plain.value(b"\0" + w.lower().strip(edges)) % (1 << 32)
+                                  | (plain.value(b"\1" + shape) % (1 << 30)) << 32)
+    grams = Grams()
+    grams.of([b"one,", b"two,", b"two,"])
+    assert len(grams) == 2 and len(grams.shapes) == 1       # a shape is hashed once for all words that have it
