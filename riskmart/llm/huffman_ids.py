@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riskmart.llm.common import new_path, raw_texts, slices, whole_text
+from riskmart.llm.common import new_path, raw_texts, slices, tidied, whole_text
 from riskmart.llm.wordwise import wordwise
 
 LIMIT = 16        # longest code; raised where more ids occur than fit
@@ -160,21 +160,20 @@ def _tokenizer(path: str, end_id: int):
 def tokens(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFrame:
     """(doc_id, n_tokens, crc, ids): ids of each text and the end id, 16 bits each; a greater id is an error."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")).mapInArrow(
-        _tokenizer(tokenizer_path, end_id), "doc_id long, n_tokens long, crc long, ids binary")
+        tidied(_tokenizer(tokenizer_path, end_id)), "doc_id long, n_tokens long, crc long, ids binary")
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(1 << 16, np.int64)
     for batch in batches:
-        for data in raw_texts(batch.column("ids")):
-            total += np.bincount(np.frombuffer(data, "<u2"), minlength=1 << 16)
+        total += np.bincount(np.frombuffer(b"".join(raw_texts(batch.column("ids"))), "<u2"), minlength=1 << 16)
     at = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int64)), pa.array(total[at])], ["id", "n"])
 
 
 def codebook(ids: DataFrame, limit: int = LIMIT) -> Codebook:
     """The code for the counts over all of ``ids``; at most 65,536 rows, one for each id, reach the driver."""
-    counts = ids.select("ids").mapInArrow(_count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    counts = ids.select("ids").mapInArrow(tidied(_count), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
     counts.sort()
     number, n = np.array([r[0] for r in counts], np.int64), np.array([r[1] for r in counts], np.int64)
     return Codebook(number, limited_lengths(n, limit))
@@ -235,7 +234,7 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = END_ID,
     files = ids.repartitionByRange(*order).sortWithinPartitions(*order)
     if not len(book.ids):
         files = ids.limit(0)
-    files.select("doc_id", "ids").mapInArrow(_packer(book.ids, book.bits, block_ids), _BLOCK).write.option(
+    files.select("doc_id", "ids").mapInArrow(tidied(_packer(book.ids, book.bits, block_ids)), _BLOCK).write.option(
         "compression", "zstd").parquet(f"{path}/blocks")
     blocks = spark.read.schema(_BLOCK).parquet(f"{path}/blocks")
     blocks.groupBy("file").agg(F.sum("n_ids").alias("n_ids")).coalesce(1).write.parquet(f"{path}/files")
@@ -318,7 +317,7 @@ def read_pieces(spark: SparkSession, path: str, where: str = "true", with_ids: b
     """Every document (one of several blocks as pieces) decoded from the files."""
     book = read_book(spark, path)
     blocks = spark.read.schema(_BLOCK).parquet(f"{path}/blocks").where(where)
-    return blocks.mapInArrow(_reader(book.ids, book.bits, with_ids), _PIECE)
+    return blocks.mapInArrow(tidied(_reader(book.ids, book.bits, with_ids)), _PIECE)
 
 
 def digests(spark: SparkSession, path: str) -> DataFrame:
@@ -333,7 +332,7 @@ def digests(spark: SparkSession, path: str) -> DataFrame:
               .agg(F.min("local").alias("local"),
                    F.sort_array(F.collect_list(F.struct("piece", "n", "crc"))).alias("pieces"))
               .select("file", "doc_id", "local", "pieces")
-              .mapInArrow(_join_pieces, "file int, doc_id long, local long, n long, crc long"))
+              .mapInArrow(tidied(_join_pieces), "file int, doc_id long, local long, n long, crc long"))
     return whole.unionByName(joined).join(files, F.col("file") == F.col("f")).select(
         "doc_id", (F.col("base") + F.col("local")).alias("start"), F.col("n").alias("n_tokens"),
         F.col("crc").alias("ids_crc32"))

@@ -6,14 +6,21 @@ import json
 import os
 import unicodedata
 from array import array
+from collections.abc import Callable
 from functools import lru_cache
 
 from riskmart.llm.common import Remembered
 
 _STEM_ENDS = frozenset(bytes([c]) for c in b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
+_TAIL = b".,!?;:&%*$#"          # no apostrophe, which may begin a piece of letters
 WORD_END = "</w>"
 
 
+def _stays_letter(c: str) -> bool:
+    """Whether a letter is letters only when normalised: else its mark goes with the signs after it."""
+    return unicodedata.normalize("NFC", c).lower().isalpha()
+
+
 def _byte_letters() -> dict[str, int]:
     """The letter that stands for each byte in byte-level vocabularies."""
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -66,6 +73,21 @@ class LetterMerges:
         return self.encode_piece(word[:-1] + end)
 
 
+class LearnedWords(Remembered):
+    """Remembered words that look up what they do not know: a lookup that finds a word costs one step in C."""
+
+    def __init__(self, limit: int, ids: Callable[[bytes], bytes]):
+        super().__init__(limit)
+        self.ids = ids
+
+    def __missing__(self, word: bytes) -> bytes:
+        found = self.older.get(word)
+        if found is None:
+            found = self.ids(word)
+        self[word] = found
+        return found
+
+
 class WordwiseBpe:
     """Ids of whole texts under a ``tokenizers`` file whose pre-tokens never span white space.
 
@@ -73,48 +95,34 @@ class WordwiseBpe:
     of its white-space separated words in turn.  Only ASCII white space is split at;
     a word holding other white space is passed to the library as it is.  The tokenizer
     lower-cases, so ASCII capitals need not be told apart, but for its special tokens;
-    a letter or digit and a full stop or comma after it are never one piece.  A
-    distinct word is encoded once while it is remembered: words of letters by
+    a letter or digit and the full stops, commas and other signs of ``_TAIL`` that end
+    a word after it are never one piece.  A distinct word is encoded once while it is remembered: words of letters by
     ``LetterMerges``, all others by the library.
     """
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 150_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        self.tokenizer, self.letters, self.known = Tokenizer.from_file(path), LetterMerges(path), Remembered(limit)
-
-    def _learn(self, words: list[bytes]) -> None:
-        others = []
-        for w in words:
-            ids = self.letters.ids(w)
-            if ids is None:
-                others.append(w)
-            else:
-                self.known[w] = array("I", ids).tobytes()
-        for at in range(0, len(others), 20_000):
-            part = others[at: at + 20_000]
-            found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part],
-                                                     add_special_tokens=False)
-            for w, e in zip(part, found):
-                self.known[w] = array("I", e.ids).tobytes()
+        self.tokenizer, self.letters = Tokenizer.from_file(path), LetterMerges(path)
+        self.known = LearnedWords(limit, self._ids)
+
+    def _ids(self, word: bytes) -> bytes:
+        """Ids of a word that is not remembered."""
+        if not word.isalpha():
+            stem = word.rstrip(_TAIL)
+            if stem != word and (stem[-1:] in _STEM_ENDS or _stays_letter(stem.decode("utf-8", "replace")[-1:])):
+                return self.known[stem] + self.known[word[len(stem):]]
+        ids = self.letters.ids(word)
+        if ids is None:
+            # the batch call, as it tells no offsets
+            ids = self.tokenizer.encode_batch_fast([word.decode("utf-8", "replace")], add_special_tokens=False)[0].ids
+        return array("I", ids).tobytes()
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        words = [(t if b"<|" in t else t.lower()).split() for t in texts]
         self.known.make_room()
-        split, plain = {}, []
-        for w in set().union(*words).difference(self.known).difference(self.known.older):
-            stem = w.rstrip(b".,")
-            if stem != w and (stem[-1:] in _STEM_ENDS or stem.decode("utf-8", "replace")[-1:].isalpha()):
-                split[w] = (stem, w[len(stem):])
-            else:
-                plain.append(w)
-        self._learn(plain)
-        self._learn(self.known.unknown(list(split.values())))
-        known = self.known
-        for w, (stem, end) in split.items():
-            known[w] = known[stem] + known[end]
-        return [b"".join(map(known.__getitem__, ws)) for ws in words]
+        known = self.known.__getitem__          # learns what it does not know
+        return [b"".join(map(known, (t if b"<|" in t else t.lower()).split())) for t in texts]
 
 
 @lru_cache(1)

@@ -5,7 +5,7 @@ import random
 import numpy as np
 
 from riskmart.llm.queries import WORD_BPE
-from riskmart.llm.wordwise import LetterMerges, wordwise
+from riskmart.llm.wordwise import LetterMerges, WordwiseBpe, wordwise
 
 LETTERS = "abcdefghijklmnopqrstuvwxyzéèêçñóßäöüœжя漢éΣσς"
 
@@ -31,3 +31,21 @@ def test_texts_equal_the_library(spark):
     model = wordwise(WORD_BPE)
     for text, ids in zip(texts, model.encode([t.encode() for t in texts])):
         assert np.frombuffer(ids, "<u4").tolist() == model.tokenizer.encode(text, add_special_tokens=False).ids, text[:60]
+
+
+def test_signs_after_a_word_equal_the_library():
+    rng, model = random.Random(3), wordwise(WORD_BPE)
+    words = ["".join(rng.choices("abZ9éİ\u0958'<|>-_漢", k=rng.randrange(0, 4))) + "".join(
+        rng.choices(".,!?;:&%*$#'", k=rng.randrange(1, 6))) for _ in range(4000)] + ["no<|endoftext|>.", "<|endoftext|>!!"]
+    for word, ids in zip(words, model.encode([w.encode() for w in words])):
+        assert np.frombuffer(ids, "<u4").tolist() == model.tokenizer.encode(word, add_special_tokens=False).ids, word
+
+
+def test_known_words_are_found_without_a_pass_over_all_words(monkeypatch):
+    """A remembered word takes one lookup; only words not remembered are worked out, each once."""
+    model = WordwiseBpe(WORD_BPE)
+    worked = []
+    monkeypatch.setattr(model.known, "ids", lambda w, f=model._ids: worked.append(w) or f(w))
+    first = model.encode([b"one two one. two", b"one two"])
+    assert worked == [b"one", b"two", b"one.", b"."] and model.encode([b"one two one. two", b"one two"]) == first
+    assert len(worked) == 4
