@@ -35,12 +35,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskmart.llm.common import discard, mix, raw_texts, stash, whole_text
+from riskmart.llm.common import discard, mix, raw_texts, slices, stash, tidied, whole_text
 
 LENGTH, GRAM, STARTS = 100, 37, 64          # a string has 64 places for a gram of 37 bytes
 BITMAP_BITS = (20, 28)                      # the fewest and the most, as powers of two; 32 MB at most
 GROUP_SEGMENTS = 50_000                     # different segments of an anchor that one task sorts
-BATCH_BYTES = 6 << 20
+BATCH_BYTES = 2 << 20                       # of segments sorted at once; a byte takes some 50 of scratch
+REMOVE_ROWS = 64                            # rows whose flags are worked on at once
 PIECE = (1 << 20) - 256                     # string starts handled at once; positions fit 20 bits
 _POSITION = np.uint64((1 << 20) - 1)
 _MULTIPLIER = 0x9E3779B97F4A7C15 | 1
@@ -265,7 +266,7 @@ def _sorter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sorted_masks(needed: DataFrame) -> DataFrame:
     return needed.repartition("gram").sortWithinPartitions("gram").mapInArrow(
-        _sorter, "gram long, key long, mask long")
+        tidied(_sorter), "gram long, key long, mask long")
 
 
 def _grouped_masks(needed: DataFrame) -> DataFrame:
@@ -281,20 +282,31 @@ def _grouped_masks(needed: DataFrame) -> DataFrame:
 
 # -- removal ---------------------------------------------------------------------------------
 
+def _flagged(flags: pa.ListArray) -> Iterator[np.ndarray]:
+    """For each row the places of its repeated strings, from its segments' starts and masks."""
+    ends, whole = flags.offsets.to_numpy(), flags.values
+    start, starts, mask = (whole.field(c).to_numpy(zero_copy_only=False) for c in ("start", "starts", "mask"))
+    inside = np.arange(STARTS)
+    for a, b, known in zip(ends[:-1].tolist(), ends[1:].tolist(), flags.is_valid().to_pylist()):
+        if not known or a == b:
+            yield np.zeros(0, np.int64)
+            continue
+        bits = np.unpackbits(mask[a:b].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").view(bool)
+        row, place = np.nonzero(bits & (inside < starts[a:b, None]))
+        yield start[a:b][row] + place
+
+
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (part for whole in batches for part in slices(whole, REMOVE_ROWS)):
         out = {k: [] for k in ("id", "text_hash", "n_bytes", "n_removed", "n_spans", "kept_sha256")}
-        for doc, key, data, flags in zip(batch.column("id").to_pylist(), batch.column("text_hash").to_pylist(),
-                                         raw_texts(batch.column("text")), batch.column("flags").to_pylist()):
+        for doc, key, data, at in zip(batch.column("id").to_pylist(), batch.column("text_hash").to_pylist(),
+                                      raw_texts(batch.column("text")), _flagged(batch.column("flags"))):
             kept, removed, spans = data, 0, 0
-            if flags:
-                step = np.zeros(len(data) + 1, np.int32)
-                for f in flags:
-                    bits = np.array([f["mask"]], np.int64).view(np.uint8)
-                    at = f["start"] + np.flatnonzero(np.unpackbits(bits, bitorder="little")[: f["starts"]])
-                    step[at] += 1
-                    step[at + LENGTH] -= 1
-                gone = np.cumsum(step[:-1]) > 0
+            if len(at):
+                step = np.zeros(len(data) + 1, np.int8)         # no place starts or ends two strings
+                step[at] += 1
+                step[at + LENGTH] -= 1
+                gone = np.cumsum(step[:-1], dtype=np.int32) > 0
                 removed = int(gone.sum())
                 spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
                 kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
@@ -321,19 +333,19 @@ def removals(docs: DataFrame, group_segments: int = GROUP_SEGMENTS) -> DataFrame
     if repeated:                                        # one row of each stands for all
         texts = texts.dropDuplicates(["id", "text_hash"])
 
-    shared = stash(texts.select("text").mapInArrow(_grams, "gram long").groupBy("gram").agg(F.count("*").alias("n"))
+    shared = stash(texts.select("text").mapInArrow(tidied(_grams), "gram long").groupBy("gram").agg(F.count("*").alias("n"))
                    .where("n > 1").select("gram"), "shared-anchors")
     bits = spark.sparkContext.broadcast(bitmap(shared, "gram", shared.count()))
-    found = stash(texts.mapInArrow(_occurrences(bits), _OCCURRENCE), "occurrences")
+    found = stash(texts.mapInArrow(tidied(_occurrences(bits)), _OCCURRENCE), "occurrences")
     order = F.struct("id", "text_hash", "anchor")
     segments = stash(found.groupBy("gram", "key").agg(F.min(order).alias("first"), F.count("*").alias("n"))
                      .select("gram", "key", "first.*", "n"), "segments")
     several = stash(segments.groupBy("gram").agg(F.count("*").alias("kinds")).where("kinds > 1"), "mixed-anchors")
     needed = stash(segments.drop("n").join(several, "gram"), "needed-segments")
 
-    places = needed.select("gram", "key", "id", "text_hash", "anchor").mapInArrow(_hash_places, "place long")
+    places = needed.select("gram", "key", "id", "text_hash", "anchor").mapInArrow(tidied(_hash_places), "place long")
     wanted = spark.sparkContext.broadcast(bitmap(places, "place", needed.count()))
-    contents = texts.mapInArrow(_contents(wanted), "gram long, key long, bytes binary")
+    contents = texts.mapInArrow(tidied(_contents(wanted)), "gram long, key long, bytes binary")
     contents = stash(contents.dropDuplicates(["gram", "key"]).join(needed, ["gram", "key"]), "contents")
     masks = _sorted_masks(contents.where(F.col("kinds") <= group_segments))
     many = contents.where(F.col("kinds") > group_segments)
@@ -352,7 +364,7 @@ def removals(docs: DataFrame, group_segments: int = GROUP_SEGMENTS) -> DataFrame
     discard(shared, found, segments, several, needed, contents, told)
     done = texts.join(flags, (F.col("id") == F.col("_id")) & (F.col("text_hash") == F.col("_hash")), "left").select(
         "id", "text_hash", "text", "flags").mapInArrow(
-        _remove, "id long, text_hash long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+        tidied(_remove), "id long, text_hash long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     done = done.withColumn("doc_id", F.when(F.col("id") != _LAST, F.col("id")))
     columns = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
     if not repeated:
