@@ -1,6 +1,8 @@
 """Operators on single texts against plain versions: secrets, token files, substrings, personal data, pieces, chats."""
 
+import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -131,6 +133,42 @@ def test_repeated_substrings_odd_rows(spark):
     assert suffix_dedup.removals(frame(spark, [])).count() == 0
 
 
+def test_flagged_bytes_are_removed_in_small_parts():
+    """Rows, some without flags, of many flagged segments: right bytes, and scratch of a few rows only."""
+    rng = random.Random(6)
+    texts = [bytes(rng.choices(b"abc ", k=rng.choice([80, 700, 30_000]))) for _ in range(300)]
+    flags = [None if k % 7 == 0 else [{"start": a, "starts": min(60, len(t) - 99 - a), "mask": rng.choice([-1, 5, 1 << 59])}
+                                      for a in range(0, len(t) - 99, 60) if rng.random() < 0.7] for k, t in enumerate(texts)]
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("starts", pa.int32()), ("mask", pa.int64())]))
+    batch = pa.RecordBatch.from_pydict({"id": range(300), "text_hash": [0] * 300, "text": [t.decode() for t in texts],
+                                        "flags": pa.array(flags, kind)}).slice(2)
+    tracemalloc.start()
+    got = [r for b in suffix_dedup._remove(iter([batch])) for r in b.to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8 << 20, peak
+    for r, text, marks in zip(got, texts[2:], flags[2:], strict=True):
+        gone = [False] * len(text)
+        for m in marks or []:
+            for i in range(m["starts"]):
+                if m["mask"] >> i & 1:
+                    at = m["start"] + i
+                    gone[at: at + 100] = [True] * 100
+        kept = bytes(c for c, g in zip(text, gone) if not g)
+        spans = sum(g and not (i and gone[i - 1]) for i, g in enumerate(gone))
+        assert (r["n_removed"], r["n_spans"]) == (sum(gone), spans)
+        assert r["kept_sha256"] == hashlib.sha256(kept).hexdigest()
+
+
+@pytest.mark.parametrize("job", [suffix_dedup.removals, lambda d: huffman_ids.tokens(d, WORD_BPE)])
+def test_python_jobs_return_their_memory(spark, monkeypatch, job):
+    frames = type(spark.range(1))
+    used, run = [], frames.mapInArrow
+    monkeypatch.setattr(frames, "mapInArrow", lambda self, f, *a, **k: used.append(f) or run(self, f, *a, **k))
+    job(frame(spark, [(1, "a" * 300), (2, "b " * 90)]))
+    assert used and all(f.__qualname__.startswith("tidied.") for f in used)
+
+
 def test_personal_data(spark):
     rows = list(enumerate(TEXTS)) + [(6, TEXTS[6]), (None, TEXTS[7])]
     kinds = list(weak_pii.KINDS)
