@@ -90,11 +90,8 @@ class Codebook:
         self.code, self.width = np.zeros(size, np.uint64), np.zeros(size, np.int64)
         self.code[self.ids[order]] = (starts >> (self.limit - widths)).astype(np.uint64)
         self.width[self.ids[order]] = widths
-        self.table_id = np.zeros(1 << self.limit, np.uint32)
-        self.table_bits = np.ones(1 << self.limit, np.int64)
-        filled = int(steps.sum())
-        self.table_id[:filled] = np.repeat(self.ids[order], steps)
-        self.table_bits[:filled] = np.repeat(widths, steps)
+        self.table = np.ones(1 << self.limit, np.int64)           # the id that bits begin with, times 32, and its width
+        self.table[: int(steps.sum())] = np.repeat(self.ids[order].astype(np.int64) << 5 | widths, steps)
 
     def pack(self, ids: np.ndarray, step: int = STEP) -> tuple[bytes, np.ndarray]:
         """The bits of ``ids`` as bytes, and the bit offset of every ``step``-th id."""
@@ -120,39 +117,40 @@ class Codebook:
             base += len(padded)
         if not base or not sum(map(len, lanes)):
             return [np.zeros(0, np.uint32) for _ in blocks]
-        half = np.frombuffer(b"".join(parts), ">u2").astype(np.uint32)
-        window = (half[:-1] << np.uint32(16)) | half[1:]
-        at, left = np.concatenate(lanes), np.concatenate(left)    # short lanes run on over padding, unread
-        out = np.zeros((len(at), step), np.uint32)
-        keep = np.uint32((1 << self.limit) - 1)
-        for k in range(int(left.max())):
-            i = np.minimum(at >> 4, len(window) - 1)
-            bits = (window[i] >> (32 - self.limit - (at & 15)).astype(np.uint32)) & keep
-            out[:, k] = self.table_id[bits]
-            at = at + self.table_bits[bits]
-        found, lane = [], 0
+        at, left = np.concatenate(lanes), np.concatenate(left)    # short lanes run on over what follows, unread
+        most = int(left.max())
+        parts.append(b"\0" * (4 * most + 8))                      # no code is longer than 31 bits
+        half = np.frombuffer(b"".join(parts), ">u2").astype(np.int64)
+        window = half[:-1] << 16 | half[1:]
+        found = np.zeros((step, len(at)), np.int64)
+        keep, room = (1 << self.limit) - 1, 32 - self.limit
+        for k in range(most):
+            found[k] = self.table[window[at >> 4] >> (room - (at & 15)) & keep]
+            at += found[k] & 31
+        out, lane = [], 0
         for _, marks, n in blocks:
-            found.append(out[lane: lane + len(marks)].reshape(-1)[:n])
+            out.append((found[:, lane: lane + len(marks)].T >> 5).astype(np.uint32).reshape(-1)[:n])
             lane += len(marks)
-        return found
+        return out
 
 
 # -- writing ----------------------------------------------------------------------------
 
 def _tokenizer(path: str, end_id: int):
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = wordwise(path), np.array([end_id], "<u4").tobytes()
+        encoder = wordwise(path)
         for whole in batches:
-            for batch in slices(whole, 512):
-                ids = [x + end for x in encoder.encode(list(raw_texts(batch.column("text"))))]
-                every = np.frombuffer(b"".join(ids), "<u4")
+            for batch in slices(whole, 1000):
+                every, cuts = encoder.encode_column(batch.column("text"))
+                every = np.insert(every, cuts[1:], end_id)
                 if every.max(initial=0) > 0xFFFF:
                     raise ValueError(f"token id {every.max()} does not fit 16 bits")
-                data, cuts = every.astype("<u2").tobytes(), np.cumsum([0] + [len(x) // 2 for x in ids]).tolist()
-                small = [data[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+                cuts = cuts + np.arange(len(cuts))                # each text has its end id now
+                spans, small = list(zip(cuts[:-1].tolist(), cuts[1:].tolist())), every.astype("<u2")
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), pa.array([len(x) // 4 for x in ids], pa.int64()),
-                     pa.array([zlib.crc32(x) for x in ids], pa.int64()), pa.array(small, pa.binary())],
+                    [batch.column("doc_id"), pa.array(np.diff(cuts), pa.int64()),
+                     pa.array([zlib.crc32(every[a:b]) for a, b in spans], pa.int64()),
+                     pa.array([small[a:b].tobytes() for a, b in spans], pa.binary())],
                     ["doc_id", "n_tokens", "crc", "ids"])
     return tokenize
 

@@ -4,15 +4,21 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import unicodedata
 from array import array
 from collections.abc import Callable
 from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 from riskmart.llm.common import Remembered
 
 _STEM_ENDS = frozenset(bytes([c]) for c in b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
 _TAIL = b".,!?;:&%*$#"          # no apostrophe, which may begin a piece of letters
+_LONGEST = 200                  # bytes of a word merged here: the merges of one piece take time in its square
 WORD_END = "</w>"
 
 
@@ -28,6 +34,64 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
 
 
+def _plain_letters() -> str:
+    """Letters up to the Cyrillic ones that stand for themselves when normalised and are lowered to one letter."""
+    def plain(c: str) -> bool:
+        return c.isalpha() and c.islower() and c.lower() == c and unicodedata.normalize("NFC", c) == c
+    return "".join(c for c in map(chr, range(0x530)) if unicodedata.normalize("NFC", c) == c and plain(c.lower()))
+
+
+_MARK = 1 << 31                 # no id: the end of a word in a list of words
+
+
+def _ranks(path: str) -> dict[bytes, int]:
+    """Ids of a BPE file's tokens by their bytes, a word end as a space, which no piece of a word holds."""
+    with open(path, encoding="utf-8") as f:
+        vocab = json.load(f)["model"]["vocab"]
+    letters, ranks = _byte_letters(), {}
+    for token, i in vocab.items():
+        ends = token.endswith(WORD_END)
+        shown = token[:-len(WORD_END)] if ends else token
+        if shown and all(c in letters for c in shown):
+            data = bytes(letters[c] for c in shown)
+            if b" " not in data:
+                ranks[data + b" " if ends else data] = i
+    return ranks | {b" ": _MARK + 1, b"\n": _MARK}
+
+
+class WordLists:
+    """Ids of many distinct words in one call, by the same merges as ``LetterMerges``.
+
+    For words of letters with, at most, signs of ``_TAIL`` after them.  A word end is a space
+    here: the byte with the space after it is one symbol, as its id comes before every merge.
+    """
+
+    def __init__(self, path: str):
+        import tiktoken
+        letters = re.escape(_plain_letters())
+        self.words = f"^[{letters}]+[{re.escape(_TAIL.decode())}]*$"
+        self.tails = re.compile(f"[{re.escape(_TAIL.decode())}]+")
+        self.pieces = tiktoken.Encoding("words", pat_str="[^ \\n]+ |\\n", mergeable_ranks=_ranks(path),
+                                        special_tokens={})._core_bpe
+
+    def holds(self, words: pa.Array) -> np.ndarray:
+        """Which words can be encoded here."""
+        found = pc.and_(pc.match_substring_regex(words, self.words), pc.less_equal(pc.binary_length(words), _LONGEST))
+        return found.to_numpy(zero_copy_only=False)
+
+    def ids(self, words: pa.Array) -> pa.LargeBinaryArray:
+        """Ids of each word, as 32 bits each."""
+        one = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), pc.utf8_lower(words).cast(pa.string()))
+        listed = self.tails.sub(r" \g<0>", pc.binary_join(one, " \n")[0].as_py() + " \n" * bool(len(words)))
+        found = np.frombuffer(self.pieces.encode_to_tiktoken_buffer(listed, set()), np.uint32)
+        ends = np.flatnonzero(found == _MARK)
+        if len(ends) != len(words):
+            raise ValueError(f"{len(ends)} words found in a list of {len(words)}")
+        offsets = np.concatenate([[0], ends - np.arange(len(ends))]) * 4
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(words), [
+            None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(found[found != _MARK])])
+
+
 class LetterMerges:
     """The merges of a BPE file with word ends, for words of letters only, by the ranks of byte strings.
 
@@ -59,7 +123,7 @@ class LetterMerges:
 
     def ids(self, word: bytes) -> list[int] | None:
         """Ids of a word; None where it is more than plain letters."""
-        if len(word) > 200:
+        if len(word) > _LONGEST:
             return None
         if word.isalpha() and word.islower():           # of bytes: plain ASCII letters
             return self.encode_piece(word[:-1] + self.final[word[-1]])
@@ -97,13 +161,14 @@ class WordwiseBpe:
     lower-cases, so ASCII capitals need not be told apart, but for its special tokens;
     a letter or digit and the full stops, commas and other signs of ``_TAIL`` that end
     a word after it are never one piece.  A distinct word is encoded once while it is remembered: words of letters by
-    ``LetterMerges``, all others by the library.
+    ``LetterMerges``, all others by the library.  Of a column of texts, the distinct words
+    that ``WordLists`` holds are encoded in one call and not remembered.
     """
 
     def __init__(self, path: str, limit: int = 150_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        self.tokenizer, self.letters = Tokenizer.from_file(path), LetterMerges(path)
+        self.tokenizer, self.letters, self.lists = Tokenizer.from_file(path), LetterMerges(path), WordLists(path)
         self.known = LearnedWords(limit, self._ids)
 
     def _ids(self, word: bytes) -> bytes:
@@ -124,6 +189,27 @@ class WordwiseBpe:
         known = self.known.__getitem__          # learns what it does not know
         return [b"".join(map(known, (t if b"<|" in t else t.lower()).split())) for t in texts]
 
+    def encode_column(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in turn, and where each text's ids begin in them, with the end of the last.
+
+        As ``encode``, but words are split and told apart in Arrow: each distinct word is looked at once.
+        """
+        texts = pc.fill_null(texts, "")
+        texts = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+        split = pc.ascii_split_whitespace(texts)
+        words = split.flatten().dictionary_encode()
+        distinct = words.dictionary
+        listed = self.lists.holds(distinct)
+        self.known.make_room()
+        others = distinct.filter(pa.array(~listed)).cast(pa.large_binary()).to_pylist()
+        ids = pa.concat_arrays([self.lists.ids(distinct.filter(pa.array(listed))),
+                                pa.array([self.known[w] if w else b"" for w in others], pa.large_binary())])
+        place = np.where(listed, np.cumsum(listed) - 1, listed.sum() + np.cumsum(~listed) - 1)
+        every = ids.take(pa.array(place[words.indices.to_numpy()], pa.int64()))
+        ends = np.frombuffer(every.buffers()[1], np.int64, len(every) + 1) // 4
+        cuts = ends[split.offsets.to_numpy() - split.offsets[0].as_py()]
+        return np.frombuffer(every.buffers()[2] or b"", "<u4", int(ends[-1])), cuts
+
 
 @lru_cache(1)
 def wordwise(path: str) -> WordwiseBpe:
