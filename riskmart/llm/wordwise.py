@@ -62,15 +62,15 @@ def _ranks(path: str) -> dict[bytes, int]:
 class WordLists:
     """Ids of many distinct words in one call, by the same merges as ``LetterMerges``.
 
-    For words of letters with, at most, signs of ``_TAIL`` after them.  A word end is a space
-    here: the byte with the space after it is one symbol, as its id comes before every merge.
+    For words of letters with, at most, signs of ``_TAIL`` after them; both parts are encoded
+    apart.  A word end is a space here: the byte with the space after it is one symbol, as its
+    id comes before every merge.
     """
 
     def __init__(self, path: str):
         import tiktoken
-        letters = re.escape(_plain_letters())
-        self.words = f"^[{letters}]+[{re.escape(_TAIL.decode())}]*$"
-        self.tails = re.compile(f"[{re.escape(_TAIL.decode())}]+")
+        self.letters, self.tail = _plain_letters(), _TAIL.decode()
+        self.words = f"^[{self.letters}]+[{re.escape(self.tail)}]*$"
         self.pieces = tiktoken.Encoding("words", pat_str="[^ \\n]+ |\\n", mergeable_ranks=_ranks(path),
                                         special_tokens={})._core_bpe
 
@@ -81,14 +81,20 @@ class WordLists:
 
     def ids(self, words: pa.Array) -> pa.LargeBinaryArray:
         """Ids of each word, as 32 bits each."""
-        one = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), pc.utf8_lower(words).cast(pa.string()))
-        listed = self.tails.sub(r" \g<0>", pc.binary_join(one, " \n")[0].as_py() + " \n" * bool(len(words)))
+        stems, tails = pc.utf8_rtrim(words, self.tail), pc.utf8_ltrim(words, self.letters)
+        parts = pa.concat_arrays([pc.utf8_lower(stems), tails]).dictionary_encode()
+        ids = self._parts(parts.dictionary).take(parts.indices)
+        return pc.binary_join_element_wise(ids[:len(words)], ids[len(words):], pa.scalar(b"", pa.large_binary()))
+
+    def _parts(self, parts: pa.Array) -> pa.LargeBinaryArray:
+        one = pa.ListArray.from_arrays(pa.array([0, len(parts)], pa.int32()), parts.cast(pa.string()))
+        listed = pc.binary_join(one, " \n")[0].as_py() + " \n" * bool(len(parts))
         found = np.frombuffer(self.pieces.encode_to_tiktoken_buffer(listed, set()), np.uint32)
         ends = np.flatnonzero(found == _MARK)
-        if len(ends) != len(words):
-            raise ValueError(f"{len(ends)} words found in a list of {len(words)}")
+        if len(ends) != len(parts):
+            raise ValueError(f"{len(ends)} words found in a list of {len(parts)}")
         offsets = np.concatenate([[0], ends - np.arange(len(ends))]) * 4
-        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(words), [
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(parts), [
             None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(found[found != _MARK])])
 
 
